@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varve.functions.columns import column, same
+from varve.session import BROADCAST_ROWS, broadcast_if_small
 from varve.spec import key_columns, one_of
 
 FLAGS = ("_initial", "_latest", "_update")
@@ -34,21 +35,21 @@ def _narrow(df: DataFrame, key: Sequence[str], ts: str, row_hash: str) -> DataFr
     return df.select(*keys, column(row_hash).alias(_HASH), column(ts).alias(_TIME))
 
 
-def _on(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    return same((left[n], right[n]) for n in names)
+def _renamed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({n: f"{n}_r" for n in names})
 
 
-def _semi(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose ``names``, nulls included, occur in ``right``."""
-    keys = right.select(*[F.col(n).alias(f"{n}_r") for n in names]).distinct()
-    return left.join(keys, same((F.col(n), F.col(f"{n}_r")) for n in names), "left_semi")
+def _matches(names: Sequence[str]) -> Column:
+    """Condition for a join with a :func:`_renamed` table, nulls equal."""
+    return same((F.col(n), F.col(f"{n}_r")) for n in names)
 
 
-def _with(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Left join on ``names``, nulls equal, keeping one copy of them."""
-    renamed = right.withColumnsRenamed({n: f"{n}_r" for n in names})
-    joined = left.join(renamed, same((F.col(n), F.col(f"{n}_r")) for n in names), "left")
-    return joined.drop(*[f"{n}_r" for n in names])
+def _with(
+    left: DataFrame, right: DataFrame, names: Sequence[str], rows: int = BROADCAST_ROWS + 1
+) -> DataFrame:
+    """Left join on ``names``; ``right`` has at most ``rows`` rows."""
+    other = broadcast_if_small(_renamed(right, names), rows)
+    return left.join(other, _matches(names), "left").drop(*[f"{n}_r" for n in names])
 
 
 def _stats(narrow: DataFrame, keys: list[str], hashes: DataFrame | None) -> DataFrame:
@@ -88,26 +89,17 @@ def apply_flags(
     ts: str = INSERT_TS,
     row_hash: str = ROW_HASH,
 ) -> DataFrame:
-    """Set the flags of rows whose key and hash occur in ``stats``; others keep theirs."""
+    """Set the flags of rows from the stats of their key and hash."""
     key = key_columns(key)
-    at = column(ts)
-    initial, latest = at == F.col(_FIRST), at == F.col(_LAST)
-    update = (at != F.col(_FIRST)) & (at == F.col(_SEEN))
+    rows = df.drop(*FLAGS)
     names = [*_key_aliases(key), _HASH]
-    condition = same(
-        (column(mine), F.col(theirs)) for mine, theirs in zip([*key, row_hash], names)
+    condition = same((column(c), F.col(n)) for c, n in zip([*key, row_hash], names))
+    at, first, last, seen = column(ts), F.col(_FIRST), F.col(_LAST), F.col(_SEEN)
+    flags = (at == first, at == last, (at != first) & (at == seen))
+    return rows.join(stats, condition, "left").select(
+        *[column(c) for c in rows.columns],
+        *[F.coalesce(f, F.lit(False)).alias(n) for n, f in zip(FLAGS, flags)],
     )
-    known = stats.withColumn("__hit", F.lit(True))
-    joined = df.join(known, condition, "left")
-    hit = F.col("__hit")
-    flags = {}
-    for name, value in zip(FLAGS, (initial, latest, update)):
-        value = F.coalesce(value, F.lit(False))
-        if name in df.columns:
-            value = F.when(hit.isNull(), column(name)).otherwise(value)
-        flags[name] = value
-    data = [column(c) for c in df.columns if c not in FLAGS]
-    return joined.select(*data, *[v.alias(n) for n, v in flags.items()])
 
 
 def add_version_flags(
@@ -124,8 +116,7 @@ def add_version_flags(
     content was first seen in its batch. A null time gives no flag; null keys are one
     group. The key may be a business date, whose newest snapshot then is the latest.
     """
-    rows = df.drop(*FLAGS)
-    return apply_flags(rows, flag_stats(rows, key, ts, row_hash, hash_covers_key), key, ts, row_hash)
+    return apply_flags(df, flag_stats(df, key, ts, row_hash, hash_covers_key), key, ts, row_hash)
 
 
 def latest(df: DataFrame, key: str | Sequence[str], ts: str = INSERT_TS) -> DataFrame:
@@ -226,47 +217,56 @@ def union_history(old: DataFrame, new: DataFrame, drift: str = "fail") -> DataFr
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def touched_stats(
+def upsert_versions(
     history: DataFrame,
     new: DataFrame,
     key: str | Sequence[str],
     ts: str = INSERT_TS,
     row_hash: str = ROW_HASH,
-    hash_covers_key: bool = False,
+    drift: str = "fail",
+    new_rows: int | None = None,
     hash_history: DataFrame | None = None,
 ) -> DataFrame:
-    """Flag stats of the keys in ``new`` only; reads three columns of the history.
-
-    ``hash_history`` is the history to look hashes up in, when ``history`` was cut down
-    to the parts that may hold the new keys.
+    """Flagged history plus new rows; flags change for the keys in ``new`` only.
+
+    Equals a full :func:`add_version_flags` as long as no new time is earlier than one of
+    the history. Of the history, other keys are passed through, and the flags are found
+    from its key, hash and time columns. ``new_rows``, if the caller has counted them,
+    bounds the tables joined to the history, which are broadcast when it is small.
+    ``hash_history`` is where to look for known content when ``history`` was cut down to
+    the parts that may hold the new keys.
     """
     key = key_columns(key)
     names = _key_aliases(key)
+    rows = new_rows if new_rows is not None else BROADCAST_ROWS + 1
     fresh = _narrow(new, key, ts, row_hash)
-    touched = _semi(_narrow(history, key, ts, row_hash), fresh, names).unionByName(fresh)
-    if hash_covers_key:
-        return _stats(touched, names, None)
-    seen = _narrow(hash_history if hash_history is not None else history, key, ts, row_hash)
-    hashes = _semi(seen, touched, [_HASH]).select(_HASH, _TIME)
-    return _stats(touched, names, hashes.unionByName(fresh.select(_HASH, _TIME)))
 
+    def joined_by(source: DataFrame, by: list[str]) -> DataFrame:
+        wanted = broadcast_if_small(_renamed(fresh.select(*by).distinct(), by), rows)
+        found = source.join(wanted, _matches(by), "left_semi")
+        return found.unionByName(fresh).groupBy(*by)
 
-def upsert_versions(
-    history: DataFrame,
-    new: DataFrame,
-    key: str | Sequence[str],
-    ts: str = INSERT_TS,
-    row_hash: str = ROW_HASH,
-    hash_covers_key: bool = False,
-    drift: str = "fail",
-    stats: DataFrame | None = None,
-) -> DataFrame:
-    """Flagged history plus new rows; only keys in ``new`` are computed again.
+    by_key = joined_by(_narrow(history, key, ts, row_hash), names).agg(
+        F.min(_TIME).alias(_FIRST), F.max(_TIME).alias(_LAST)
+    )
+    seen = _narrow(hash_history if hash_history is not None else history, key, ts, row_hash)
+    by_hash = joined_by(seen, [_HASH]).agg(F.min(_TIME).alias(_SEEN))
 
-    Equals a full :func:`add_version_flags` as long as the new rows' times are later
-    than those of the history. ``stats`` may pass :func:`touched_stats` already written.
-    """
-    if stats is None:
-        stats = touched_stats(history, new, key, ts, row_hash, hash_covers_key)
-    rows = union_history(history, new.drop(*FLAGS), drift)
-    return apply_flags(rows, stats, key, ts, row_hash)
+    groups = fresh.select(*names, _HASH).distinct()
+    stats = _with(_with(groups, by_key, names, rows), by_hash, [_HASH], rows)
+    added = apply_flags(new, broadcast_if_small(stats, rows), key, ts, row_hash)
+
+    at, first, last = column(ts), F.col(_FIRST), F.col(_LAST)
+    condition = same((column(k), F.col(n)) for k, n in zip(key, names))
+    marked = history.join(broadcast_if_small(by_key, rows), condition, "left")
+    other = F.col(_LAST).isNull()
+    changed = {"_initial": at == first, "_latest": at == last}
+    kept = marked.select(
+        *[
+            F.when(other, column(c)).otherwise(F.coalesce(changed[c], F.lit(False))).alias(c)
+            if c in changed
+            else column(c)
+            for c in history.columns
+        ]
+    )
+    return union_history(kept, added, drift)

@@ -8,18 +8,18 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from varve.functions.times import clock_micros
 from varve.operators.metadata import add_basic_metadata, stamp_batches
 from varve.operators.quality import CORRUPT, formats, split_corrupt
 from varve.operators.versioning import (
     add_version_flags,
-    apply_flags,
     drifted,
-    touched_stats,
     union_history,
+    upsert_versions,
 )
-from varve.session import broadcast_if_small, materialize
+from varve.session import materialize, materialize_counted
 from varve.sources.files import manifest, new_files, read_csv, read_jsonl
 from varve.sources.folders import Folder
 from varve.sources.store import Store
@@ -126,35 +126,34 @@ def load_rows(
     if commit is not None and clock_micros(clock) <= commit.clock:
         raise ValueError(f"the clock {clock} is not later than the newest batch of {table!r}")
 
-    staged = materialize(rows, "staged")
-    new, broken = split_corrupt(staged)
-    corrupt = broken.count() if CORRUPT in staged.columns else 0
+    corrupt = F.count(CORRUPT if CORRUPT in rows.columns else F.lit(None))
+    staged, counts = materialize_counted(rows, "staged", corrupt=corrupt)
+    new, _ = split_corrupt(staged)
+    good = counts["rows"] - counts["corrupt"]
+    outcome = Outcome(table, "loaded", good, counts["corrupt"])
     missing = [k for k in key if k not in new.columns]
     if missing:
         raise KeyError(f"{table!r} has no key columns {missing}")
     covers = spec.hash_mode == "strict" and not any(k.startswith("_") for k in key)
 
     history = store.read_or_none(table)
-    if history is None:
-        store.replace(add_version_flags(new, key, hash_covers_key=covers), table, key, files, last)
-        return Outcome(table, "loaded", new.count(), corrupt)
-
-    retyped = drifted(history.schema, new.schema)
-    if retyped:
-        # Stored files cannot change a column's type in place: write them all again.
-        rows = union_history(history, new, spec.drift)
-        store.replace(add_version_flags(rows, key, hash_covers_key=covers), table, key, files, last)
-        return Outcome(table, "loaded", new.count(), corrupt)
-
-    part = store.read_or_none(table, store.touched(table, new))
-    stats = materialize(
-        touched_stats(part, new, key, hash_covers_key=covers, hash_history=history), "flag_stats"
-    )
-    merged = apply_flags(
-        union_history(part, new, spec.drift), broadcast_if_small(stats, stats.count()), key
-    )
-    store.replace_buckets(merged, table, files, last)
-    return Outcome(table, "loaded", new.count(), corrupt)
+    if history is not None and not drifted(history.schema, new.schema):
+        part = store.read_or_none(table, store.touched(table, new))
+        merged = upsert_versions(
+            part,
+            new,
+            key,
+            drift=spec.drift,
+            new_rows=good,
+            hash_history=part if covers else history,
+        )
+        store.replace_buckets(merged, table, files, last)
+        return outcome
+    # A first load; or a column changed its type, which stored files cannot do in place.
+    whole = new if history is None else union_history(history, new, spec.drift)
+    flagged = add_version_flags(whole, key, hash_covers_key=covers)
+    store.replace(flagged, table, key, files, last)
+    return outcome
 
 
 def quarantined(

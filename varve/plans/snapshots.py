@@ -11,6 +11,7 @@ from varve.operators.quality import require, verify_checksums
 from varve.plans.bronze import Outcome, ingest_bronze, run_tables
 from varve.plans.silver import publish_silver
 from varve.sources.files import TRANSACTION_FILES, new_files, route_files
+from varve.sources.store import Store
 from varve.spec import TableSpec, Zones
 
 
@@ -29,6 +30,7 @@ def snapshot_transactions(
     clock: datetime,
     code_version: str | None = None,
     checksums: DataFrame | None = None,
+    buckets: int = 64,
 ) -> list[Outcome]:
     """Load landed snapshot files and publish the newest snapshot per business date.
 
@@ -45,8 +47,9 @@ def snapshot_transactions(
         )
         named = content.join(checksums.select("name"), "name", "left_semi")
         require(verify_checksums(named, checksums), "checksum mismatch")
+    store = Store(spark, zones, buckets=buckets)
     loads = {
-        name: lambda spec=spec: ingest_bronze(spark, zones, spec, clock, code_version)
+        name: lambda spec=spec: ingest_bronze(spark, zones, spec, clock, code_version, store)
         for name, spec in specs.items()
     }
     outcomes = run_tables(loads)

@@ -6,7 +6,7 @@ import tempfile
 from functools import cache
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows a table may have, by count, to be sent whole to every executor.
@@ -43,6 +43,14 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialize`, with aggregates that the write itself takes, ``rows`` always."""
+    counted = Observation()
+    named = [F.count("*").alias("rows"), *[c.alias(n) for n, c in counts.items()]]
+    written = materialize(df.observe(counted, *named), name)
+    return written, counted.get
+
+
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the counted rows are within ``limit``, else leave it to AQE."""
     return F.broadcast(df) if rows <= limit else df

@@ -194,12 +194,14 @@ def land_jsonl(
     return rows
 
 
-def land_batches(df: DataFrame, zones: Zones, table: str, batch: Column, ext: str = "jsonl") -> None:
-    """Write many landing batches at once; ``batch`` names each row's batch (K1).
+def land_batches(df: DataFrame, zones: Zones, table: str, name: str, ext: str = "jsonl") -> None:
+    """Write many landing batches at once; the column ``name`` names each row's batch (K1).
 
     Rebalancing gives every batch few files, and several to a batch that is large.
     """
-    named = df.withColumn("batch", F.concat(batch, F.lit(f".{ext}")))
+    if "batch" in df.columns:
+        raise ValueError("a column named 'batch' would be lost in the folder names")
+    named = df.withColumn("batch", F.concat(column(name), F.lit(f".{ext}"))).drop(name)
     writer = (
         named.hint("rebalance", "batch")
         .write.mode("append")
@@ -208,7 +210,12 @@ def land_batches(df: DataFrame, zones: Zones, table: str, batch: Column, ext: st
     )
     path = f"{zones.landing}/{plain_name(table, 'table')}"
     if ext == "csv":
-        writer.options(header=True, escape='"').csv(path)
+        writer.options(
+            header=True,
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        ).csv(path)
     else:
         writer.json(path)
 
