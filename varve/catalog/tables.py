@@ -54,11 +54,12 @@ def replace_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, fresh_zones(spark, "buckets"), buckets=16)
     store.replace(orders, "orders", key=["o_custkey"])
     changed = orders.where("o_orderdate >= DATE'2001-07-01'").select("o_custkey").distinct()
-    part = store.read_or_none("orders", store.touched("orders", changed))
+    buckets = store.touched("orders", changed)
+    part = store.read_or_none("orders", buckets)
     marked = part.join(changed.withColumn("hit", F.lit(True)), "o_custkey", "left").withColumn(
         "o_orderstatus", F.when(F.col("hit"), "seen").otherwise(F.col("o_orderstatus"))
     )
-    store.replace_buckets(marked.drop("hit"), "orders")
+    store.replace_buckets(marked.drop("hit"), "orders", buckets)
     return order_rows(store.read("orders"))
 
 

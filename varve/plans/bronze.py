@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from varve.functions.times import clock_micros
 from varve.operators.metadata import add_basic_metadata, stamp_batches
-from varve.operators.quality import CORRUPT, formats, split_corrupt
+from varve.operators.quality import CORRUPT, split_corrupt
 from varve.operators.versioning import (
     add_version_flags,
     drifted,
@@ -22,7 +22,7 @@ from varve.operators.versioning import (
 from varve.session import materialize, materialize_counted
 from varve.sources.files import manifest, new_files, read_csv, read_jsonl
 from varve.sources.folders import Folder
-from varve.sources.store import Store
+from varve.sources.store import Store, bucket_of
 from varve.spec import TableSpec, Zones
 
 
@@ -85,15 +85,17 @@ def ingest_bronze(
     files taken in to ``processed/`` afterwards.
     """
     store = store or Store(spark, zones)
-    files = materialize(waiting(spark, store, spec.name), "manifest")
-    ext = _single_format(files)
-    if ext is None:
+    stage, files = store.stage_files(spec.name, waiting(spark, store, spec.name))
+    # One row per landing batch: Spark's own file index of the scan holds more.
+    batches = sorted(files.select("batch", "folder", "ext").distinct().collect())
+    if not batches:
         return Outcome(spec.name, "no new files")
-    # One path per landing batch: Spark's own file index of this scan holds more.
-    batches = sorted(files.select("batch", "folder").distinct().collect())
+    found = {b["ext"] for b in batches}
+    if len(found) > 1:
+        raise TypeError(f"mixed file types in {spec.name!r}: {sorted(found)}")
     names, folders = [b["batch"] for b in batches], [b["folder"] for b in batches]
-    rows = stamped(scan(spark, spec, folders, ext), spec, names, clock, code_version)
-    outcome = load_rows(store, spec, rows, files, clock, len(names))
+    rows = stamped(scan(spark, spec, folders, found.pop()), spec, names, clock, code_version)
+    outcome = load_rows(store, spec, rows, stage, clock, len(names))
     if archive:
         done = Folder(spark, f"{zones.landing}/{spec.name}/processed")
         for folder in folders:
@@ -101,21 +103,11 @@ def ingest_bronze(
     return outcome
 
 
-def _single_format(files: DataFrame) -> str | None:
-    """The format that is waiting, None if nothing is; two formats are an error."""
-    report = formats(files).first()
-    if report is None:
-        return None
-    if not report["ok"]:
-        raise TypeError(f"mixed file types in {report['table']!r}: {report['formats']}")
-    return report["formats"][0]
-
-
 def load_rows(
     store: Store,
     spec: TableSpec,
     rows: DataFrame,
-    files: DataFrame | None,
+    files: str | None,
     clock: datetime,
     batches: int = 1,
 ) -> Outcome:
@@ -126,19 +118,24 @@ def load_rows(
     if commit is not None and clock_micros(clock) <= commit.clock:
         raise ValueError(f"the clock {clock} is not later than the newest batch of {table!r}")
 
-    corrupt = F.count(CORRUPT if CORRUPT in rows.columns else F.lit(None))
-    staged, counts = materialize_counted(rows, "staged", corrupt=corrupt)
+    missing = [k for k in key if k not in rows.columns]
+    if missing:
+        raise KeyError(f"{table!r} has no key columns {missing}")
+    buckets = commit.buckets if commit else store.buckets
+    staged, counts = materialize_counted(
+        rows,
+        "staged",
+        corrupt=F.count(CORRUPT if CORRUPT in rows.columns else F.lit(None)),
+        buckets=F.collect_set(bucket_of(key, buckets)),
+    )
     new, _ = split_corrupt(staged)
     good = counts["rows"] - counts["corrupt"]
     outcome = Outcome(table, "loaded", good, counts["corrupt"])
-    missing = [k for k in key if k not in new.columns]
-    if missing:
-        raise KeyError(f"{table!r} has no key columns {missing}")
     covers = spec.hash_mode == "strict" and not any(k.startswith("_") for k in key)
 
     history = store.read_or_none(table)
-    if history is not None and not drifted(history.schema, new.schema):
-        part = store.read_or_none(table, store.touched(table, new))
+    if history is not None and not _retypes(history, new):
+        part = store.read_or_none(table, counts["buckets"])
         merged = upsert_versions(
             part,
             new,
@@ -147,7 +144,7 @@ def load_rows(
             new_rows=good,
             hash_history=part if covers else history,
         )
-        store.replace_buckets(merged, table, files, last)
+        store.replace_buckets(merged, table, counts["buckets"], files, last)
         return outcome
     # A first load; or a column changed its type, which stored files cannot do in place.
     whole = new if history is None else union_history(history, new, spec.drift)
@@ -156,6 +153,12 @@ def load_rows(
     return outcome
 
 
+def _retypes(history: DataFrame, new: DataFrame) -> bool:
+    """Whether a column of the history must change its type to take in the new rows."""
+    common = drifted(history.schema, new.schema)
+    return any(kind != history.schema[name].dataType for name, kind in common.items())
+
+
 def quarantined(
     spark: SparkSession, spec: TableSpec, paths: Sequence[str], ext: str = "jsonl"
 ) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from varve.functions.times import batch_id
-from varve.operators.filters import worklist
+from varve.operators.filters import CHUNK_SIZE, worklist
 from varve.operators.versioning import INSERT_TS
-from varve.session import materialize
+from varve.session import materialize, materialize_counted
 from varve.sources.fetch import fetch_by_key
 from varve.sources.files import land_jsonl
 from varve.sources.store import Store
@@ -34,11 +34,13 @@ def feedback_enrich(
 ) -> int:
     """Fetch details of a bronze table's work list and land them; gives the rows landed.
 
-    The work list stays distributed. The fetched rows are written once before they are
+    The work list stays distributed, in parts of a chunk's size or less. The fetched rows are written once before they are
     landed, so that no later step repeats a request.
     """
-    wanted = worklist(
-        Store(spark, zones).read(leads), status_col, choice, INSERT_TS, clock, key, columns
+    rows = Store(spark, zones).read(leads)
+    wanted, counts = materialize_counted(
+        worklist(rows, status_col, choice, INSERT_TS, clock, key, columns), "worklist"
     )
-    details = materialize(fetch_by_key(wanted, fetch, schema, partitions), "details")
+    chunks = max(-(-counts["rows"] // CHUNK_SIZE), spark.sparkContext.defaultParallelism)
+    details = materialize(fetch_by_key(wanted, fetch, schema, partitions or chunks), "details")
     return land_jsonl(details, zones, asset, batch_id(asset, clock))

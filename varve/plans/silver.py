@@ -26,12 +26,30 @@ def publish_silver(
     specs: Sequence[TableSpec] = (),
     drop_meta: bool = False,
 ) -> list[Outcome]:
-    """Replace the silver table of every bronze table (K3); failures do not spread."""
-    bronze, silver = Store(spark, zones), Store(spark, zones, "silver")
+    """Bring the silver table of every bronze table up to date (K3).
+
+    A silver row depends on its bronze row alone, so only buckets that bronze has written
+    since the last time are published again; all of them when the rule has changed. One
+    table's failure does not spread.
+    """
+    bronze = Store(spark, zones)
     known = {s.name: s for s in specs}
 
     def publish(table: str) -> Outcome:
-        silver.replace(silver_view(bronze.read(table), known.get(table), drop_meta), table)
-        return Outcome(table, "loaded")
+        spec, source = known.get(table), bronze.commit_of(table)
+        silver = Store(spark, zones, "silver", source.buckets)
+        old = silver.commit_of(table)
+        rule = f"{spec.where if spec else None}, {drop_meta}, {source.schema.json()}"
+        derived = {"origin": source.folders, "rule": rule}
+        if old is None or old.rule != rule or old.buckets is None:
+            rows = silver_view(bronze.read(table), spec, drop_meta)
+            key = source.key if set(source.key) <= set(rows.columns) else None
+            return Outcome(table, "loaded", silver.replace(rows, table, key, **derived).rows)
+        buckets = {*source.folders, *old.origin}
+        changed = [b for b in buckets if source.folders.get(b) != old.origin.get(b)]
+        if not changed:
+            return Outcome(table, "no new files")
+        rows = silver_view(bronze.read_or_none(table, changed), spec, drop_meta)
+        return Outcome(table, "loaded", silver.replace_buckets(rows, table, changed, **derived).rows)
 
     return run_tables({t: lambda t=t: publish(t) for t in bronze.tables()})

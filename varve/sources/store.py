@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from varve.sources.folders import Folder
 from varve.spec import Zones, one_of, plain_name
 
 BUCKET = "_bucket"
-CONSUMED = "table string, batch string, file string"
+FILES = "table string, batch string, folder string, ext string, file string"
 
 
 def bucket_of(key: Sequence[str], buckets: int) -> Column:
@@ -43,7 +43,10 @@ class Commit:
     buckets: int | None = None
     key: list[str] = field(default_factory=list)
     clock: int = 0  # newest batch time, in microseconds
-    consumed: list[str] = field(default_factory=list)  # generations that took files in
+    consumed: list[str] = field(default_factory=list)  # staged lists of files taken in
+    rows: int = 0  # rows this write wrote
+    origin: dict[str, str] = field(default_factory=dict)  # folders it was derived from
+    rule: str = ""  # how it was derived from them
 
     def to_json(self) -> str:
         return json.dumps({**self.__dict__, "schema": self.schema.jsonValue()})
@@ -109,38 +112,50 @@ class Store:
         commit = self.commit_of(table)
         paths = [f"{self._control(table)}/consumed/gen={g}" for g in (commit.consumed if commit else [])]
         if not paths:
-            return self.spark.createDataFrame([], CONSUMED)
-        return self.spark.read.schema(CONSUMED).parquet(*paths)
+            return self.spark.createDataFrame([], FILES)
+        return self.spark.read.schema(FILES).parquet(*paths)
+
+    def stage_files(self, table: str, files: DataFrame) -> tuple[str, DataFrame]:
+        """Write the list of files about to be taken in; it counts once a commit names it."""
+        stage = uuid4().hex
+        path = f"{self._control(table)}/consumed/gen={stage}"
+        files.select(column("table"), "batch", "folder", "ext", "file").write.parquet(path)
+        return stage, self.spark.read.schema(FILES).parquet(path)
 
     def replace(
         self,
         df: DataFrame,
         table: str,
         key: Sequence[str] | None = None,
-        files: DataFrame | None = None,
+        files: str | None = None,
         clock: int = 0,
+        **derived,
     ) -> Commit:
         """Make ``df`` the table, whatever it was; ``df`` may read the table (K2, K3).
 
         With ``key`` the rows are laid out in buckets, so that later loads can replace
-        some of them. ``files`` are marked as taken in by the same commit.
+        some of them. ``files`` names a staged list of files, taken in by this commit.
         """
         old = self.commit_of(table)
         buckets = (old.buckets if old and old.buckets else self.buckets) if key else None
-        return self._write(df, table, old, list(key or []), buckets, files, clock, {})
+        return self._write(df, table, old, list(key or []), buckets, files, clock, {}, derived)
 
     def replace_buckets(
         self,
         df: DataFrame,
         table: str,
-        files: DataFrame | None = None,
+        buckets: Iterable[int],
+        files: str | None = None,
         clock: int = 0,
+        **derived,
     ) -> Commit:
-        """Make ``df`` the content of every bucket it has rows of; others stay (K4)."""
+        """Make ``df`` the whole content of the named buckets; others stay (K4)."""
         old = self.commit_of(table)
         if old is None or old.buckets is None:
             raise ValueError(f"table {table!r} is not laid out in buckets")
-        return self._write(df, table, old, old.key, old.buckets, files, clock, old.folders)
+        gone = {str(b) for b in buckets}
+        kept = {b: gen for b, gen in old.folders.items() if b not in gone}
+        return self._write(df, table, old, old.key, old.buckets, files, clock, kept, derived)
 
     def touched(self, table: str, new: DataFrame) -> list[int]:
         """The buckets the keys of ``new`` fall in; at most as many as the table has."""
@@ -148,25 +163,21 @@ class Store:
         found = new.select(bucket_of(commit.key, commit.buckets).alias("bucket")).distinct()
         return sorted(row["bucket"] for row in found.collect())
 
-    def _write(self, df, table, old, key, buckets, files, clock, kept) -> Commit:
+    def _write(self, df, table, old, key, buckets, files, clock, kept, derived) -> Commit:
         generation = uuid4().hex
         path = f"{self._root(table)}/gen={generation}"
+        counted = Observation()
         if buckets:
             # Rebalancing splits a bucket that holds much of the table into several files.
             laid_out = df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET)
+            laid_out = laid_out.observe(counted, F.count("*").alias("rows"))
             laid_out.write.partitionBy(BUCKET).parquet(path)
             prefix = f"{BUCKET}="
             names = [n for n in Folder(self.spark, path).names() if n.startswith(prefix)]
             folders = {**kept, **{n.removeprefix(prefix): generation for n in names}}
         else:
-            df.write.parquet(path)
+            df.observe(counted, F.count("*").alias("rows")).write.parquet(path)
             folders = {"all": generation}
-        consumed = list(old.consumed) if old else []
-        if files is not None:
-            files.select("table", "batch", "file").write.parquet(
-                f"{self._control(table)}/consumed/gen={generation}"
-            )
-            consumed.append(generation)
         commit = Commit(
             version=(old.version if old else 0) + 1,
             schema=_nullable(df.schema),
@@ -174,7 +185,9 @@ class Store:
             buckets=buckets,
             key=key,
             clock=max(clock, old.clock if old else 0),
-            consumed=consumed,
+            consumed=(old.consumed if old else []) + ([files] if files else []),
+            rows=counted.get["rows"],
+            **derived,
         )
         self._commits(table).create(f"{commit.version:08d}.json", commit.to_json())
         return commit

@@ -94,16 +94,20 @@ def ingest_stream(
         files = staged.select(
             F.lit(spec.name).alias("table"),
             batch_of(F.col(SOURCE)).alias("batch"),
+            F.col(SOURCE).alias("folder"),
+            F.lit(ext).alias("ext"),
             F.col(SOURCE).alias("file"),
         ).distinct()
-        fresh = materialize(new_files(files, store.consumed(spec.name), on="file"), "manifest")
+        stage, fresh = store.stage_files(
+            spec.name, new_files(files, store.consumed(spec.name), on="file")
+        )
         names = [r["batch"] for r in fresh.select("batch").distinct().collect()]
         if not names:
             return
         now = clock(epoch)
         wanted = staged.join(fresh.select("file"), F.col(SOURCE) == F.col("file"), "left_semi")
         versions = stamped(wanted, spec, names, now, code_version)
-        load_rows(store, spec, versions, fresh, now, len(names))
+        load_rows(store, spec, versions, stage, now, len(names))
 
     stream = stream_landing(
         spark, f"{zones.landing}/{spec.name}", spec.schema, ext,
