@@ -22,8 +22,14 @@ BATCH_PATTERN = BATCH_NAME + r"(?:/[^/]+)?$"
 
 
 def batch_of(path: Column) -> Column:
-    """Name of the landing batch a file path belongs to."""
-    return F.regexp_extract(path, BATCH_PATTERN, 1)
+    """Name of the landing batch a file path belongs to.
+
+    Says the same as ``BATCH_PATTERN``, without a regular expression per row.
+    """
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    in_folder = folder.endswith(".jsonl") | folder.endswith(".csv")
+    name = F.when(in_folder, folder).otherwise(F.substring_index(path, "/", -1))
+    return F.when(name.startswith("batch="), F.substring(name, 7, 1 << 30)).otherwise(name)
 
 
 def source_file(df: DataFrame, override: str | None = None) -> Column:

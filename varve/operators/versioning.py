@@ -52,23 +52,6 @@ def _with(
     return left.join(other, _matches(names), "left").drop(*[f"{n}_r" for n in names])
 
 
-def _stats(narrow: DataFrame, keys: list[str], hashes: DataFrame | None) -> DataFrame:
-    """Per (key, hash): first and last time of the key, first time of the hash.
-
-    ``hashes`` are the rows that decide a hash's first time; None means that equal
-    hashes imply equal keys, so that the group itself decides.
-    """
-    groups = narrow.groupBy(*keys, _HASH).agg(
-        F.min(_TIME).alias(_FIRST), F.max(_TIME).alias(_LAST)
-    )
-    by_key = groups.groupBy(*keys).agg(F.min(_FIRST).alias(_FIRST), F.max(_LAST).alias(_LAST))
-    content = groups.select(*keys, _HASH, F.col(_FIRST).alias(_SEEN))
-    if hashes is not None:
-        by_hash = hashes.groupBy(_HASH).agg(F.min(_TIME).alias(_SEEN))
-        content = _with(content.drop(_SEEN), by_hash, [_HASH])
-    return _with(content, by_key, keys)
-
-
 def flag_stats(
     df: DataFrame,
     key: str | Sequence[str],
@@ -76,10 +59,21 @@ def flag_stats(
     row_hash: str = ROW_HASH,
     hash_covers_key: bool = False,
 ) -> DataFrame:
-    """The narrow table :func:`add_version_flags` joins to the rows."""
+    """Per (key, hash): first and last time of the key, first time of the hash.
+
+    ``hash_covers_key`` says that equal hashes imply equal keys, which spares a step.
+    """
     key = key_columns(key)
+    names = _key_aliases(key)
     narrow = _narrow(df, key, ts, row_hash)
-    return _stats(narrow, _key_aliases(key), None if hash_covers_key else narrow)
+    by_key = narrow.groupBy(*names).agg(F.min(_TIME).alias(_FIRST), F.max(_TIME).alias(_LAST))
+    groups = narrow.groupBy(*names, _HASH).agg(F.min(_TIME).alias(_SEEN))
+    stats = _with(groups, by_key, names)
+    if hash_covers_key:
+        return stats
+    # Both uses of the groups read the same columns, so that Spark shuffles them once.
+    by_hash = groups.groupBy(_HASH).agg(F.min(_SEEN).alias("__anywhere"))
+    return _with(stats, by_hash, [_HASH]).withColumn(_SEEN, F.least(_SEEN, "__anywhere"))
 
 
 def apply_flags(
