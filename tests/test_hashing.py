@@ -33,9 +33,10 @@ def test_compat_skips_nulls_and_strict_does_not(spark):
 def test_nested_values_are_json(spark):
     df = spark.sql(
         """SELECT named_struct('x', 1, 'y', CAST(NULL AS INT)) AS a, array('p', 'q') AS b,
-                  array(named_struct('z', 2)) AS c, map('k2', 2, 'k1', 1) AS d, array(1, 2) AS e"""
+                  array(named_struct('z', 2)) AS c, map('k2', 2, 'k1', 1) AS d, array(1, 2) AS e,
+                  array(array(1), array(2)) AS f"""
     )
-    assert hashes(df) == [digest('{"x":1}|p|q|[{"z":2}]|{"k1":1,"k2":2}|[1,2]')]
+    assert hashes(df) == [digest('{"x":1}|p|q|[{"z":2}]|{"k1":1,"k2":2}|1|2|[[1],[2]]')]
 
 
 def test_odd_names(spark):
@@ -56,6 +57,17 @@ def test_map_order_does_not_matter_to_records(spark):
     assert df.select(record_hash(df)).distinct().count() == 1
 
 
+def test_field_order_does_not_matter_to_records(spark):
+    one = "named_struct('b', array(named_struct('d', 1, 'c', 2)), 'a', map('k', named_struct('y', 1, 'x', 2)))"
+    two = "named_struct('a', map('k', named_struct('x', 2, 'y', 1)), 'b', array(named_struct('c', 2, 'd', 1)))"
+    first, second, missing = (
+        df.select(record_hash(df)).first()[0]
+        for df in (spark.sql(f"SELECT {value} AS r, 1 AS n") for value in (one, two, f"if(rand() < 0, {one}, NULL)"))
+    )
+    assert first == second
+    assert missing == digest('{"n":1}')
+
+
 def test_record_normalised(spark):
     df = spark.sql("SELECT 1 AS bid, CAST(NULL AS STRUCT<u: STRING>) AS hooks")
     same = spark.sql("SELECT 1.0D AS bid, named_struct('u', CAST(NULL AS STRING)) AS hooks")

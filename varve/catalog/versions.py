@@ -15,6 +15,7 @@ from varve.operators.versioning import (
     latest,
     upsert_versions,
 )
+from varve.session import materialize
 
 
 def hashed(df: DataFrame, content: list[str]) -> DataFrame:
@@ -111,6 +112,7 @@ def deleted_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change-only upsert of the later days into the earlier ones."""
     rows = feed(spark, sf_dir)
-    history = add_version_flags(rows.where("day < DATE'2024-01-21'"), "user_id", ts="day")
+    early = add_version_flags(rows.where("day < DATE'2024-01-21'"), "user_id", ts="day")
+    history = materialize(early, "history")
     new = rows.where("day >= DATE'2024-01-21'")
     return upsert_versions(history, new, "user_id", ts="day").select(*RESULT)

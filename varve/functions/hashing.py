@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varve.functions.columns import column, quoted
+from varve.functions.columns import column
 from varve.spec import one_of
 
 # to_json cuts times to milliseconds and writes them in the session zone by default.
@@ -22,19 +22,33 @@ def business_fields(schema: T.StructType) -> list[T.StructField]:
     return sorted((f for f in schema if not f.name.startswith("_")), key=lambda f: f.name)
 
 
+NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+
+
 def _as_text(field: T.StructField) -> Column:
     value, kind = column(field.name), field.dataType
-    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
-        return value
-    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-        return F.to_json(_sorted_map(value, kind))
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, NESTED):
+        return value.cast("array<string>")
+    if isinstance(kind, T.MapType):
+        return F.to_json(canonical(value, kind))
+    if isinstance(kind, NESTED):
+        return F.to_json(value)
     return value.cast("string")
 
 
-def _sorted_map(value: Column, kind: T.DataType) -> Column:
-    if not isinstance(kind, T.MapType):
-        return value
-    return F.map_from_entries(F.array_sort(F.map_entries(value)))
+def canonical(value: Column, kind: T.DataType) -> Column:
+    """The value with the fields of its structs and the keys of its maps in order."""
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind, key=lambda f: f.name)
+        parts = [canonical(value.getField(f.name), f.dataType).alias(f.name) for f in fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, NESTED):
+        return F.transform(value, lambda item: canonical(item, kind.elementType))
+    if isinstance(kind, T.MapType):
+        keys = F.array_sort(F.map_keys(value))
+        values = F.transform(keys, lambda key: canonical(value[key], kind.valueType))
+        return F.map_from_arrays(keys, values)
+    return value
 
 
 def row_hash(df: DataFrame, mode: str = "compat") -> Column:
@@ -68,7 +82,7 @@ def record_hash(
     if missing:
         raise ValueError(f"no such columns: {missing}")
     values = [
-        normalise[n] if n in normalise else _sorted_map(F.col(quoted(n)), kinds[n]) for n in names
+        normalise[n] if n in normalise else canonical(column(n), kinds[n]) for n in names
     ]
     record = F.struct(*[v.alias(n) for n, v in zip(names, values)])
     return F.sha2(F.to_json(record, JSON_TIMES), 256)
