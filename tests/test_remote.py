@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from varve.catalog.remote import ParquetPages
 from varve.operators.quality import require, totals
 from varve.sources.fetch import Throttled, fetch_by_key, with_retry
 from varve.sources.paged import NoRecords, read_counted_by_key, read_paged
@@ -33,6 +34,19 @@ def test_counted_pages(spark):
         read_paged(spark, fetch, "id long", mode="random")
 
 
+def test_counted_listing_without_pages(spark):
+    empty = {"rows": [], "total_pages": 0, "total_record": 0}
+    assert read_paged(spark, lambda page: empty, "id long", mode="counted").count() == 0
+
+
+def test_pages_of_a_folder_of_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).repartition(3).write.option("parquet.block.size", 1024).parquet(path)
+    pages = ParquetPages(path)
+    found = [r["id"] for n in range(8) for r in pages.counted(n + 1, 130)["rows"]]
+    assert sorted(found) == list(range(1000)) and pages.rows(1000, 5) == []
+
+
 def test_counted_by_key_spreads_pages_and_checks_totals(spark):
     sizes = {"a": 5, "b": 0, "c": 1, "d": None}
 

@@ -36,7 +36,7 @@ def test_replace_from_itself(spark, store):
 
 def test_replace_some_buckets(spark, store):
     first = store.replace(spark.range(100).withColumn("v", F.lit(0)), "t", key=["id"])
-    assert first.rows == 100 and len(first.folders) == 4
+    assert first.rows == 100 and len(first.parts) == 4
     changed = store.read("t").where("id IN (3, 5)")
     touched = store.touched("t", changed)
     part = store.read_or_none("t", touched)
@@ -44,7 +44,7 @@ def test_replace_some_buckets(spark, store):
         "extra", F.lit("e")
     )
     second = store.replace_buckets(new, "t", touched)
-    written = {int(b) for b in first.folders if second.folders[b] != first.folders[b]}
+    written = {b for b in range(4) if second.open_buckets()[b] != first.open_buckets()[b]}
     assert written == set(touched)
     rows = store.read("t").collect()
     assert len(rows) == 100 and sum(r["v"] for r in rows) == 2
@@ -54,7 +54,7 @@ def test_replace_some_buckets(spark, store):
 def test_emptied_bucket_goes(spark, store):
     store.replace(spark.range(100), "t", key=["id"])
     store.replace_buckets(store.read_or_none("t", [0, 1]).where("id < 0"), "t", [0, 1])
-    assert set(store.commit_of("t").folders) == {"2", "3"}
+    assert set(store.commit_of("t").open_buckets()) == {2, 3}
     assert store.read_or_none("t", [0]).count() == 0
 
 
@@ -66,7 +66,7 @@ def test_empty_table(spark, store):
 def test_null_and_widened_keys_keep_their_bucket(spark, store):
     store.replace(spark.sql("SELECT CAST(NULL AS INT) AS id UNION ALL SELECT 7"), "t", key=["id"])
     wide = spark.sql("SELECT CAST(NULL AS BIGINT) AS id UNION ALL SELECT 7L")
-    assert {str(b) for b in store.touched("t", wide)} == set(store.commit_of("t").folders)
+    assert set(store.touched("t", wide)) == set(store.commit_of("t").open_buckets())
 
 
 def test_write_without_commit_changes_nothing(spark, store, monkeypatch):
@@ -90,3 +90,21 @@ def test_buckets_need_a_key(spark, store):
     store.replace(spark.range(5), "t")
     with pytest.raises(ValueError, match="buckets"):
         store.replace_buckets(spark.range(1), "t", [0])
+
+
+def test_closed_rows_are_added_to_and_compacted(spark, store):
+    rows = spark.range(40).selectExpr("id", "id < 30 AS open", "0 AS v")
+    first = store.replace(rows, "t", key=["id"], split="open")
+    assert store.read_or_none("t", is_open=True).count() == 30
+    assert store.read_or_none("t", is_open=False).count() == 10
+    everywhere = range(4)
+    # Ten open rows close; the closed ones that were there stay where they are.
+    changed = store.read_or_none("t", is_open=True).selectExpr("id", "id < 20 AS open", "1 AS v")
+    second = store.replace_buckets(changed, "t", everywhere)
+    assert second.rows == 30 and store.read("t").count() == 40
+    assert store.read_or_none("t", is_open=False).where("v = 0").count() == 10
+    assert all(set(g) <= set(second.parts[p]) for p, g in first.parts.items() if "false" in p)
+    whole = store.read("t")
+    third = store.replace_buckets(whole, "t", everywhere, compact=everywhere)
+    assert all(len(g) == 1 for g in third.parts.values()) and store.read("t").count() == 40
+    assert store.read("t").columns == ["id", "open", "v"]

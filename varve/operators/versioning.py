@@ -223,12 +223,12 @@ def upsert_versions(
 ) -> DataFrame:
     """Flagged history plus new rows; flags change for the keys in ``new`` only.
 
-    Equals a full :func:`add_version_flags` as long as no new time is earlier than one of
-    the history. Of the history, other keys are passed through, and the flags are found
-    from its key, hash and time columns. ``new_rows``, if the caller has counted them,
-    bounds the tables joined to the history, which are broadcast when it is small.
-    ``hash_history`` is where to look for known content when ``history`` was cut down to
-    the parts that may hold the new keys.
+    Equals a full :func:`add_version_flags` as long as all new times are later than those
+    of the history. Rows of the history can then only lose ``_latest``, so ``history`` may
+    be cut down to rows that have it, of keys that may be in ``new``; ``hash_history``,
+    where to look for known content, must still be whole. The flags are found from the
+    key, hash and time columns. ``new_rows``, if the caller has counted them, bounds the
+    tables joined to the history, which are broadcast when it is small.
     """
     key = key_columns(key)
     names = _key_aliases(key)
@@ -250,17 +250,10 @@ def upsert_versions(
     stats = _with(_with(groups, by_key, names, rows), by_hash, [_HASH], rows)
     added = apply_flags(new, broadcast_if_small(stats, rows), key, ts, row_hash)
 
-    at, first, last = column(ts), F.col(_FIRST), F.col(_LAST)
     condition = same((column(k), F.col(n)) for k, n in zip(key, names))
     marked = history.join(broadcast_if_small(by_key, rows), condition, "left")
-    other = F.col(_LAST).isNull()
-    changed = {"_initial": at == first, "_latest": at == last}
+    overtaken = F.col("_latest") & (F.col(_LAST).isNull() | (column(ts) == F.col(_LAST)))
     kept = marked.select(
-        *[
-            F.when(other, column(c)).otherwise(F.coalesce(changed[c], F.lit(False))).alias(c)
-            if c in changed
-            else column(c)
-            for c in history.columns
-        ]
+        *[overtaken.alias(c) if c == "_latest" else column(c) for c in history.columns]
     )
     return union_history(kept, added, drift)

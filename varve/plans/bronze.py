@@ -23,7 +23,7 @@ from varve.operators.versioning import (
 from varve.session import materialize, materialize_counted
 from varve.sources.files import manifest, new_files, read_csv, read_jsonl
 from varve.sources.folders import Folder
-from varve.sources.store import Store, bucket_of
+from varve.sources.store import GENERATIONS, Store, bucket_of
 from varve.spec import TableSpec, Zones
 
 
@@ -136,21 +136,27 @@ def load_rows(
 
     history = store.read_or_none(table)
     if history is not None and not _retypes(history, new):
-        part = store.read_or_none(table, counts["buckets"])
+        # Rows that are no longer latest never change again: they are neither read whole
+        # nor written, but for buckets where they have come to lie in many folders.
+        touched = counts["buckets"]
         merged = upsert_versions(
-            part,
+            store.read_or_none(table, touched, is_open=True),
             new,
             key,
             drift=spec.drift,
             new_rows=good,
-            hash_history=part if covers else history,
+            hash_history=store.read_or_none(table, touched) if covers else history,
         )
-        store.replace_buckets(merged, table, counts["buckets"], files, last)
+        compact = [b for b in touched if len(commit.parts.get(commit.part(b, False), [])) >= GENERATIONS]
+        if compact:
+            closed = store.read_or_none(table, compact, is_open=False)
+            merged = merged.unionByName(closed, allowMissingColumns=True)
+        store.replace_buckets(merged, table, touched, compact, files, last)
         return outcome
     # A first load; or a column changed its type, which stored files cannot do in place.
     whole = new if history is None else union_history(history, new, spec.drift)
     flagged = add_version_flags(whole, key, hash_covers_key=covers)
-    store.replace(flagged, table, key, files, last)
+    store.replace(flagged, table, key, "_latest", files, last)
     return outcome
 
 

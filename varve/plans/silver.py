@@ -40,16 +40,16 @@ def publish_silver(
         silver = Store(spark, zones, "silver", source.buckets)
         old = silver.commit_of(table)
         rule = f"{spec.where if spec else None}, {drop_meta}, {source.schema.json()}"
-        derived = {"origin": source.folders, "rule": rule}
+        current = source.open_buckets()
+        derived = {"origin": current, "rule": rule}
         if old is None or old.rule != rule or old.buckets is None:
-            rows = silver_view(bronze.read(table), spec, drop_meta)
+            rows = silver_view(bronze.read_or_none(table, is_open=True), spec, drop_meta)
             key = source.key if set(source.key) <= set(rows.columns) else None
             return Outcome(table, "loaded", silver.replace(rows, table, key, **derived).rows)
-        buckets = {*source.folders, *old.origin}
-        changed = [b for b in buckets if source.folders.get(b) != old.origin.get(b)]
+        changed = [b for b in {*current, *old.origin} if current.get(b) != old.origin.get(b)]
         if not changed:
             return Outcome(table, "no new files")
-        rows = silver_view(bronze.read_or_none(table, changed), spec, drop_meta)
+        rows = silver_view(bronze.read_or_none(table, changed, is_open=True), spec, drop_meta)
         return Outcome(table, "loaded", silver.replace_buckets(rows, table, changed, **derived).rows)
 
     return run_tables({t: lambda t=t: publish(t) for t in bronze.tables()})

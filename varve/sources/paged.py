@@ -27,10 +27,17 @@ NO_RECORDS = "no records found"
 
 
 class Stripe(InputPartition):
-    """Every ``step``-th page, starting at page ``first``; up to ``last`` where known."""
+    """Every ``step``-th page from ``first``, without a known end."""
 
-    def __init__(self, first: int, step: int, last: int | None = None) -> None:
-        self.first, self.step, self.last = first, step, last
+    def __init__(self, first: int, step: int) -> None:
+        self.first, self.step = first, step
+
+
+class Pages(InputPartition):
+    """The pages from ``first`` up to and without ``end``."""
+
+    def __init__(self, first: int, end: int) -> None:
+        self.first, self.end = first, end
 
 
 class PagedSource(DataSource):
@@ -94,12 +101,14 @@ class OffsetReader(_Reader):
 class CountedReader(_Reader):
     """``fetch(page)`` gives ``{"rows", "total_pages", "total_record"}``, pages from 1."""
 
-    def partitions(self) -> list[Stripe]:
-        last = int(self.fetch(1)["total_pages"])
-        return [Stripe(n, self.stripes, last) for n in range(1, min(self.stripes, last) + 1)]
+    def partitions(self) -> list[Pages]:
+        pages = int(self.fetch(1)["total_pages"])
+        edges = [1 + pages * n // self.stripes for n in range(self.stripes + 1)]
+        found = [Pages(first, end) for first, end in zip(edges, edges[1:]) if first < end]
+        return found or [Pages(1, 1)]
 
-    def read(self, partition: Stripe) -> Iterator[tuple]:
-        for page in range(partition.first, partition.last + 1, partition.step):
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        for page in range(partition.first, partition.end):
             yield from self.rows(self.fetch(page)["rows"])
 
 

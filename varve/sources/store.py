@@ -26,6 +26,9 @@ from varve.spec import Zones, one_of, plain_name
 BUCKET = "_bucket"
 FILES = "table string, batch string, folder string, ext string, file string"
 
+# Generations a closed part may be spread over before a load writes it as one again.
+GENERATIONS = 32
+
 
 def bucket_of(key: Sequence[str], buckets: int) -> Column:
     """Bucket of a key; its text is hashed, so that a widened type keeps its bucket."""
@@ -35,26 +38,45 @@ def bucket_of(key: Sequence[str], buckets: int) -> Column:
 
 @dataclass
 class Commit:
-    """What a table consists of after one write."""
+    """What a table consists of after one write.
+
+    A part is a bucket, or the open or closed rows of one, or the whole table; its rows
+    are in the folders of one or more generations.
+    """
 
     version: int
     schema: T.StructType
-    folders: dict[str, str]  # bucket (or "all") -> generation
+    parts: dict[str, list[str]]
     buckets: int | None = None
     key: list[str] = field(default_factory=list)
+    split: str | None = None  # the flag that tells open from closed rows
     clock: int = 0  # newest batch time, in microseconds
     consumed: list[str] = field(default_factory=list)  # staged lists of files taken in
     rows: int = 0  # rows this write wrote
-    origin: dict[str, str] = field(default_factory=dict)  # folders it was derived from
+    origin: dict[int, list[str]] = field(default_factory=dict)  # buckets it was derived from
     rule: str = ""  # how it was derived from them
 
+    def part(self, bucket: int | None, is_open: bool | None = None) -> str:
+        if bucket is None:
+            return ""
+        flag = f"/{self.split}={str(is_open).lower()}" if self.split else ""
+        return f"{BUCKET}={bucket}{flag}"
+
+    def open_buckets(self) -> dict[int, list[str]]:
+        """The generations of every bucket's open rows."""
+        found = {b: self.parts.get(self.part(b, True)) for b in range(self.buckets or 0)}
+        return {b: generations for b, generations in found.items() if generations}
+
     def to_json(self) -> str:
-        return json.dumps({**self.__dict__, "schema": self.schema.jsonValue()})
+        origin = {str(b): g for b, g in self.origin.items()}
+        return json.dumps({**self.__dict__, "schema": self.schema.jsonValue(), "origin": origin})
 
     @staticmethod
     def from_json(text: str) -> Commit:
         values = json.loads(text)
-        return Commit(**{**values, "schema": T.StructType.fromJson(values["schema"])})
+        values["schema"] = T.StructType.fromJson(values["schema"])
+        values["origin"] = {int(b): g for b, g in values["origin"].items()}
+        return Commit(**values)
 
 
 class Store:
@@ -82,23 +104,33 @@ class Store:
         names = [n for n in folder.names() if n.endswith(".json") and not n.startswith(".")]
         return Commit.from_json(folder.read(names[-1])) if names else None
 
-    def read_or_none(self, table: str, buckets: Iterable[int] | None = None) -> DataFrame | None:
-        """The table, or None before its first load; optionally some buckets of it."""
+    def read_or_none(
+        self, table: str, buckets: Iterable[int] | None = None, is_open: bool | None = None
+    ) -> DataFrame | None:
+        """The table, or None before its first load.
+
+        ``buckets`` reads some buckets only, ``is_open`` only open or only closed rows.
+        """
         commit = self.commit_of(table)
         if commit is None:
             return None
-        wanted = None if buckets is None or commit.buckets is None else {str(b) for b in buckets}
+        parts = commit.parts
+        if commit.buckets and (buckets is not None or is_open is not None):
+            chosen = range(commit.buckets) if buckets is None else buckets
+            states = [is_open] if is_open is not None else [True, False]
+            names = {commit.part(b, state) for b in chosen for state in states}
+            parts = {name: parts[name] for name in names if name in parts}
         root = self._root(table)
-        paths = [
-            f"{root}/gen={gen}" if bucket == "all" else f"{root}/gen={gen}/{BUCKET}={bucket}"
-            for bucket, gen in commit.folders.items()
-            if wanted is None or bucket in wanted
-        ]
+        paths = [f"{root}/gen={g}/{part}" for part, found in parts.items() for g in found]
         if not paths:
             return self.spark.createDataFrame([], commit.schema)
         # The schema comes from the commit: no footer merge, and a column that an older
         # generation lacks reads as null.
-        return self.spark.read.schema(commit.schema).parquet(*paths)
+        schema = T.StructType(commit.schema.fields + [T.StructField("gen", T.StringType())])
+        if commit.buckets:
+            schema = schema.add(BUCKET, T.IntegerType())
+        found = self.spark.read.option("basePath", root).schema(schema).parquet(*paths)
+        return found.select(*[column(n) for n in commit.schema.names])
 
     def read(self, table: str) -> DataFrame:
         """The whole table."""
@@ -110,7 +142,8 @@ class Store:
     def consumed(self, table: str) -> DataFrame:
         """The landing files the table has taken in (K6)."""
         commit = self.commit_of(table)
-        paths = [f"{self._control(table)}/consumed/gen={g}" for g in (commit.consumed if commit else [])]
+        staged = commit.consumed if commit else []
+        paths = [f"{self._control(table)}/consumed/gen={g}" for g in staged]
         if not paths:
             return self.spark.createDataFrame([], FILES)
         return self.spark.read.schema(FILES).parquet(*paths)
@@ -127,6 +160,7 @@ class Store:
         df: DataFrame,
         table: str,
         key: Sequence[str] | None = None,
+        split: str | None = None,
         files: str | None = None,
         clock: int = 0,
         **derived,
@@ -134,28 +168,37 @@ class Store:
         """Make ``df`` the table, whatever it was; ``df`` may read the table (K2, K3).
 
         With ``key`` the rows are laid out in buckets, so that later loads can replace
-        some of them. ``files`` names a staged list of files, taken in by this commit.
+        some of them; with ``split``, a flag that never turns true again, its closed rows
+        (flag false) are kept apart. ``files`` names a staged list of files, taken in by
+        this commit.
         """
         old = self.commit_of(table)
         buckets = (old.buckets if old and old.buckets else self.buckets) if key else None
-        return self._write(df, table, old, list(key or []), buckets, files, clock, {}, derived)
+        layout = {"key": list(key or []), "buckets": buckets, "split": split if key else None}
+        return self._write(df, table, old, {}, layout, files, clock, derived)
 
     def replace_buckets(
         self,
         df: DataFrame,
         table: str,
         buckets: Iterable[int],
+        compact: Iterable[int] = (),
         files: str | None = None,
         clock: int = 0,
         **derived,
     ) -> Commit:
-        """Make ``df`` the whole content of the named buckets; others stay (K4)."""
+        """Make ``df`` the content of the named buckets; others stay (K4).
+
+        In a split table it is their whole open content, and closed rows of ``df`` are
+        added to those stored, or replace them in the buckets to ``compact``.
+        """
         old = self.commit_of(table)
         if old is None or old.buckets is None:
             raise ValueError(f"table {table!r} is not laid out in buckets")
-        gone = {str(b) for b in buckets}
-        kept = {b: gen for b, gen in old.folders.items() if b not in gone}
-        return self._write(df, table, old, old.key, old.buckets, files, clock, kept, derived)
+        gone = {old.part(b, True) for b in buckets} | {old.part(b, False) for b in compact}
+        kept = {part: found for part, found in old.parts.items() if part not in gone}
+        layout = {"key": old.key, "buckets": old.buckets, "split": old.split}
+        return self._write(df, table, old, kept, layout, files, clock, derived)
 
     def touched(self, table: str, new: DataFrame) -> list[int]:
         """The buckets the keys of ``new`` fall in; at most as many as the table has."""
@@ -163,32 +206,33 @@ class Store:
         found = new.select(bucket_of(commit.key, commit.buckets).alias("bucket")).distinct()
         return sorted(row["bucket"] for row in found.collect())
 
-    def _write(self, df, table, old, key, buckets, files, clock, kept, derived) -> Commit:
+    def _write(self, df, table, old, kept, layout, files, clock, derived) -> Commit:
         generation = uuid4().hex
         path = f"{self._root(table)}/gen={generation}"
-        counted = Observation()
-        if buckets:
-            # Rebalancing splits a bucket that holds much of the table into several files.
-            laid_out = df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET)
-            laid_out = laid_out.observe(counted, F.count("*").alias("rows"))
-            laid_out.write.partitionBy(BUCKET).parquet(path)
-            prefix = f"{BUCKET}="
-            names = [n for n in Folder(self.spark, path).names() if n.startswith(prefix)]
-            folders = {**kept, **{n.removeprefix(prefix): generation for n in names}}
-        else:
-            df.observe(counted, F.count("*").alias("rows")).write.parquet(path)
-            folders = {"all": generation}
+        counted, rows = Observation(), F.count("*").alias("rows")
         commit = Commit(
             version=(old.version if old else 0) + 1,
             schema=_nullable(df.schema),
-            folders=folders,
-            buckets=buckets,
-            key=key,
+            parts=dict(kept),
             clock=max(clock, old.clock if old else 0),
             consumed=(old.consumed if old else []) + ([files] if files else []),
-            rows=counted.get["rows"],
+            **layout,
             **derived,
         )
+        if commit.buckets:
+            # Rebalancing splits a bucket that holds much of the table into several files.
+            by = [BUCKET, commit.split] if commit.split else [BUCKET]
+            laid_out = df.withColumn(BUCKET, bucket_of(commit.key, commit.buckets))
+            laid_out = laid_out.hint("rebalance", *by)
+            written = F.collect_set(F.struct(*by)).alias("parts")
+            laid_out.observe(counted, rows, written).write.partitionBy(*by).parquet(path)
+            names = [commit.part(*part) for part in counted.get["parts"]]
+        else:
+            df.observe(counted, rows).write.parquet(path)
+            names = [commit.part(None)]
+        for name in names:
+            commit.parts[name] = [*commit.parts.get(name, []), generation]
+        commit.rows = counted.get["rows"]
         self._commits(table).create(f"{commit.version:08d}.json", commit.to_json())
         return commit
 
