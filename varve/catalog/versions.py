@@ -103,7 +103,7 @@ def snapshot_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deleted_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content that the newest snapshot of its date no longer has."""
     rows = hashed(table(spark, sf_dir, "lineitem"), ["l_shipdate", "l_returnflag", "l_linestatus"])
-    flagged = add_version_flags(rows, "l_shipdate", ts="l_linenumber")
+    flagged = materialize(add_version_flags(rows, "l_shipdate", ts="l_linenumber"), "flagged")
     deleted = add_deleted_flag(flagged, "l_shipdate", ts="l_linenumber")
     return deleted.select("l_orderkey", "l_linenumber", "l_partkey", "_deleted")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,7 +40,8 @@ def publish_silver(
         spec, source = known.get(table), bronze.commit_of(table)
         silver = Store(spark, zones, "silver", source.buckets)
         old = silver.commit_of(table)
-        rule = f"{spec.where if spec else None}, {drop_meta}, {source.schema.json()}"
+        text = f"{spec.where if spec else None}, {drop_meta}, {source.schema.json()}"
+        rule = sha256(text.encode()).hexdigest()
         current = source.open_buckets()
         derived = {"origin": current, "rule": rule}
         if old is None or old.rule != rule or old.buckets is None:
