@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varve.session import fresh_dir
+from varve.session import fresh_dir, ship
 from varve.spec import TableSpec, Zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +26,13 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
     def register(function: Query) -> Query:
         key = name or function.__name__
-        QUERIES[key] = function
+
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[key] = run
         if sql is not None:
             SQL[key] = sql
         return function

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 from functools import cache
 from uuid import uuid4
@@ -31,6 +33,28 @@ def work_dir(spark: SparkSession) -> str:
     return _test_folder()
 
 
+@cache
+def _archive() -> str:
+    home = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="varve-code-"), "varve")
+    return shutil.make_archive(target, "zip", os.path.dirname(home), os.path.basename(home))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once per session.
+
+    Needed where workers do not have it installed and run its functions, such as paged
+    sources and keyed fetches.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        context.addPyFile(_archive())
+        _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid4().hex}"
 
