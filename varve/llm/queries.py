@@ -98,6 +98,37 @@ MIX_SQL = """
 """
 
 
+@query()
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document, by what the documents with another remainder than 2 teach."""
+    from varve.llm import lm
+    from varve.llm.common import text_of
+
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, ["doc_id"], remainder("doc_id", 7) != 2, text_of())
+
+
+@query()
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels are learned from those whose remainder is not 0."""
+    from varve.llm import crf
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    learned = docs.where(remainder("doc_id", 5) != 0).join(labels, "doc_id")
+    model = crf.learn(learned, "text", "quality", F.xxhash64("doc_id", "text"))
+    scored = crf.score(docs.withColumn("held_out", remainder("doc_id", 5) == 0), ["doc_id", "held_out"], model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of each whose id is divisible by 100."""
+    from varve.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query(MIX_SQL)
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine tenths of all tokens, dealt to domains, languages and sources by weight, two epochs at most."""
