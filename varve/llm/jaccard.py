@@ -174,10 +174,9 @@ def _bands_before(a: np.ndarray, b: np.ndarray, bucket: np.ndarray) -> np.ndarra
     return _mixed(keys + first.astype(np.uint64)) == bucket
 
 
-def _meet(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Surviving pairs of one block pair of a bucket; each pair in its first common band only."""
+def _survivors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the pairs of a group that survive; each pair only in the first band it shares."""
     side = table.column("side").to_numpy()
-    nodes = table.column("node").to_numpy()
     bucket = np.uint64(table.column("bucket")[0].as_py() & 0xFFFFFFFFFFFFFFFF)
     sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
     one = bool((side == 2).all())
@@ -188,39 +187,113 @@ def _meet(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     if len(a):
         first = _bands_before(sigs[a], sigs[b], np.full(len(a), bucket, np.uint64))
         a, b = a[first], b[first]
-    a, b = nodes[a], nodes[b]
-    return np.minimum(a, b), np.maximum(a, b)
-
-
-def _meetings(batches):
-    """Run :func:`_meet` on each group of rows that lie together; one group is held at a time."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([held, table]) if held is not None else table
-        if not table.num_rows:
-            continue
-        keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("bucket", "lo", "hi")])
-        starts = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
-        found = [_meet(table.slice(i, j - i)) for i, j in zip(starts, starts[1:])]
-        held = table.slice(starts[-1])
-        if found:
-            yield _pairs(found)
-    if held is not None:
-        yield _pairs([_meet(held)])
-
-
-def _pairs(found) -> pa.RecordBatch:
-    a, b = (np.concatenate(x) for x in zip(*found))
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def candidate_pairs(signed: DataFrame) -> DataFrame:
-    """(a, b): pairs of different sets that share a band and survive the pruning, each once.
-
-    A bucket of up to ``BLOCK`` sets is one task's group. A larger one is cut into blocks by a
-    hash, and every two blocks meet in a group of their own, so no group is unbounded and no pair
-    is left out.
+    return a, b
+
+
+def _by_group(body):
+    """A function of Arrow batches that runs ``body`` on each group of rows that lie together.
+
+    Groups are (bucket, lo, hi); what is held at a time is one group and one batch.
+    """
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            if not table.num_rows:
+                continue
+            keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in KEYS])
+            starts = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
+            for i, j in zip(starts, starts[1:]):
+                yield from body(table.slice(i, j - i))
+            held = table.slice(starts[-1])
+        if held is not None:
+            yield from body(held)
+
+    return run
+
+
+KEYS = ["bucket", "lo", "hi"]
+GROUP = "bucket long, lo int, hi int, side int, node long"
+FOUND = "a long, b long, n long"
+
+
+def _hopeful(table: pa.Table):
+    """The rows of a group that are in a surviving pair."""
+    a, b = _survivors(table)
+    if len(a):
+        yield table.select([*KEYS, "side", "node"]).take(np.union1d(a, b)).combine_chunks().to_batches()[0]
+
+
+def _common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Size of the intersection of the sets of each pair; pairs of one a lie together."""
+    distinct, which = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    mark = np.zeros(len(distinct), bool)
+    out = np.zeros(len(a), np.int64)
+    edges = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else []
+    for i, j in zip(edges, np.append(edges[1:], len(a)) if len(a) else []):
+        own = which[starts[a[i]] : starts[a[i]] + sizes[a[i]]]
+        mark[own] = True
+        others = b[i:j]
+        flat = np.concatenate([which[starts[o] : starts[o] + sizes[o]] for o in others])
+        out[i:j] = np.add.reduceat(mark[flat].astype(np.int64), np.cumsum(sizes[others]) - sizes[others])
+        mark[own] = False
+    return out
+
+
+def _linked(table: pa.Table):
+    """Verified links of a group: (a, null, n), n links of set a, and (a, b, null), links that span it.
+
+    A group gives no more rows than it has, however many of its pairs are links.
+    """
+    a, b = _survivors(table)
+    if not len(a):
+        return
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    both = _common(sets, a, b)
+    fits = 10 * both >= round(10 * THRESHOLD) * (sizes[a] + sizes[b] - both)
+    a, b = a[fits], b[fits]
+    if not len(a):
+        return
+    nodes = table.column("node").to_numpy()
+    degree = np.bincount(np.concatenate([a, b]), minlength=len(nodes))
+    parent = list(range(len(nodes)))
+
+    def root(n):
+        while parent[n] != n:
+            parent[n] = n = parent[parent[n]]
+        return n
+
+    tree = []
+    for i, j in zip(a.tolist(), b.tolist()):
+        x, y = root(i), root(j)
+        if x != y:
+            parent[x] = y
+            tree.append((i, j))
+    held = np.flatnonzero(degree)
+    tied = np.array(tree)
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([nodes[held], nodes[tied[:, 0]]])),
+            pa.array([None] * len(held) + nodes[tied[:, 1]].tolist(), pa.int64()),
+            pa.array(degree[held].tolist() + [None] * len(tied), pa.int64()),
+        ],
+        names=["a", "b", "n"],
+    )
+
+
+def meetings(signed: DataFrame) -> DataFrame:
+    """(bucket, lo, hi, side, node): the sets that meet others with a chance, by group.
+
+    A bucket of up to ``BLOCK`` sets is one group. A larger one is cut into blocks by a hash, and
+    every two blocks meet in a group of their own, so no group is unbounded and no pair is left
+    out. A pair counts in the first band it shares, so most groups of near copies end up empty.
     """
     rows = _banded(signed)
     full = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
@@ -230,17 +303,12 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
     dealt = members.withColumn("blocks", blocks).withColumn("own", own)
     # A member of block i is the left side of (i, j) for j > i, the right of (j, i) for j < i, and both of (i, i).
     dealt = dealt.select("bucket", "node", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    side = F.when(F.col("own") < F.col("other"), 0).when(F.col("own") > F.col("other"), 1).otherwise(2)
     dealt = dealt.select(
-        "bucket",
-        F.least("own", "other").alias("lo"),
-        F.greatest("own", "other").alias("hi"),
-        F.when(F.col("own") < F.col("other"), 0).when(F.col("own") > F.col("other"), 1).otherwise(2).alias("side"),
-        "node",
-        "sig",
+        "bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), side.alias("side"), "node", "sig"
     )
-    keys = ["bucket", "lo", "hi"]
-    together = dealt.repartition(*keys).sortWithinPartitions(*keys)
-    return together.mapInArrow(_meetings, "a long, b long")
+    together = dealt.repartition(*KEYS).sortWithinPartitions(*KEYS)
+    return together.mapInArrow(_by_group(_hopeful), GROUP)
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -254,41 +322,28 @@ def _sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node long, items binary")
 
 
-def _verify(pairs: DataFrame) -> DataFrame:
-    """(a, b) whose sets, joined to them, have a Jaccard similarity of the threshold or more."""
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for left, right in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (left, right))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(10 * both >= round(10 * THRESHOLD) * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
-
-
-def jaccard_links(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(key, node) of every text with words, and the verified links (a, b) between nodes.
+def jaccard_links(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes (key, node), degrees (node, n_links) and ties (a, b) of the verified links.
 
     ``key`` is xxhash64 of the text. A node stands for all texts with one shingle set, so copies
-    are one node and make no pairs. Texts without words have no node.
+    are one node and make no pairs; texts without words have none. Every link is verified on the
+    whole sets and counted; of a group's links only so many are listed as tie it together, so a
+    large group of near copies makes no list of all its pairs.
     """
     texts = docs.select(F.xxhash64(text_of(text)).alias("key"), text_of(text).alias("body"))
     signed = materialize(_signed(texts), "signed")
     nodes = signed.groupBy("node").agg(F.min("key").alias("key"), F.min("sig").alias("sig"))
-    pairs = materialize(candidate_pairs(materialize(nodes.select("node", "sig"), "nodes")), "pairs")
-    involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    chosen = signed.join(involved, "node").groupBy("node").agg(F.min("key").alias("key"))
+    nodes = materialize(nodes, "nodes")
+    hopeful = materialize(meetings(nodes.select("node", "sig")), "hopeful")
+    chosen = nodes.select("node", "key").join(hopeful.select("node").distinct(), "node")
     # Equal texts share a key: one of them gives the set.
     found = texts.join(chosen, "key").select("node", "body")
-    sets = _sets(found).groupBy("node").agg(F.min("items").alias("items"))
-    sets = materialize(sets, "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("right"))
-    links = _verify(pairs.join(left, "a").join(right, "b"))
-    return signed.select("key", "node").distinct(), materialize(links, "links")
+    sets = materialize(_sets(found).groupBy("node").agg(F.min("items").alias("items")), "sets")
+    full = hopeful.join(nodes.select("node", "sig"), "node").join(sets, "node")
+    together = full.repartition(*KEYS).sortWithinPartitions(*KEYS)
+    facts = materialize(together.mapInArrow(_by_group(_linked), FOUND), "facts")
+    degrees = facts.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
+    return signed.select("key", "node").distinct(), degrees, facts.where("b IS NOT NULL").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -304,11 +359,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     of the group has one. Repeated rows come back as often as they are there. Other columns are
     ignored, whatever their names. An empty table gives none.
     """
-    nodes, links = jaccard_links(docs, text)
-    both = links.union(links.select("b", "a"))
-    degree = both.groupBy("a").agg(F.count("*").alias("n_links")).withColumnRenamed("a", "node")
-    roots = components(links)
-    known = nodes.join(roots.join(degree, "node"), "node", "left").select(
+    nodes, degrees, ties = jaccard_links(docs, text)
+    known = nodes.join(components(ties).join(degrees, "node"), "node", "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     known = materialize(known, "known")
@@ -331,8 +383,8 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     Documents without words all stay. Among repeated rows with the least id one stays.
     """
     key, picked = spare(docs, "__key", "__picked")
-    nodes, links = jaccard_links(docs, text)
-    groups = nodes.join(components(links), "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    nodes, _, ties = jaccard_links(docs, text)
+    groups = nodes.join(components(ties), "node", "left").select("key", F.coalesce("root", "node").alias("root"))
     own = F.col(f"`{id_column}`")
     ids = docs.select(own.alias("id"), F.xxhash64(text_of(text)).alias("key"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
