@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varve.llm.common import parts_for, spare
+from varve.llm.common import parts_for
 
 NEAREST = 10
 # Vectors that the rotation is learned from, at most; those of least hash are taken.
@@ -174,5 +174,3 @@ def nearest(vectors: DataFrame, queries: Column, id_column: str = "vec_id", colu
     ranked = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
-
-__all__ = ["Codes", "MultiIndex", "learn_codes", "nearest", "spare"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varve.llm.common import WORD, chunks
+from varve.llm.common import chunks
 from varve.session import materialize
 
 # Words with a vector of their own. All others share the class "rare", whose words differ by count.
@@ -29,7 +28,6 @@ TOGETHER = 4096
 END = b" "  # white space is no part of a word, so no word is the end
 SEED = 20_240_202
 
-_split = re.compile(WORD.encode()).findall
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 

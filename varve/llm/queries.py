@@ -172,6 +172,14 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query()
+def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 400 bytes that are found elsewhere too."""
+    from varve.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdict of every document."""
