@@ -24,6 +24,8 @@ _TABLE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uin
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
 _MASK = (1 << 64) - 1
+# Starts of one part of a sample's range.
+PART = 32
 # Bytes whose prefix sums are held at once.
 WINDOW = 1 << 21
 
@@ -84,25 +86,18 @@ def samples(prints: Prints, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         return none, none, none
     places = np.arange(starts + SPREAD - 1)
     value = prints.of(places, places + GRAM)
-    # The least of each window of SPREAD: the least so far in blocks, from both sides.
+    # The least of each window of SPREAD: the least so far in blocks, from both sides. The low bits
+    # hold the place in the block, so that the rightmost of equal values is the least.
     blocks = -(-len(value) // SPREAD)
     padded = np.full(blocks * SPREAD, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(value)] = value
+    low = np.uint64(SPREAD - 1)
+    padded[: len(value)] = (value & ~low) | (low - (places % SPREAD).astype(np.uint64))
     grid = padded.reshape(blocks, SPREAD)
-    ahead = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    behind = np.minimum.accumulate(grid, axis=1).reshape(-1)
-    least = np.minimum(ahead[:starts], behind[SPREAD - 1 : SPREAD - 1 + starts])
-    # Where it lies: the last place up to i + SPREAD - 1 that has the value.
-    order = np.lexsort((places, value))
-    ranked = value[order]
-    # Places of one value lie in order; of those, the last at or before the window's end.
-    low = np.searchsorted(ranked, least, side="left")
-    high = np.searchsorted(ranked, least, side="right")
-    at = order[high - 1].astype(np.int64)
-    late = np.flatnonzero((at > np.arange(starts) + SPREAD - 1) | (high - low > 1))
-    for i in late.tolist():
-        held = order[low[i] : high[i]]
-        at[i] = held[np.searchsorted(held, i + SPREAD - 1, side="right") - 1]
+    ahead = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)[:starts]
+    behind = np.minimum.accumulate(grid, axis=1).reshape(-1)[SPREAD - 1 : SPREAD - 1 + starts]
+    later = (behind & ~low) <= (ahead & ~low)
+    block = np.where(later, places[SPREAD - 1 :], places[:starts]) // SPREAD
+    at = block * SPREAD + (low - (np.where(later, behind, ahead) & low)).astype(np.int64)
     edges = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     return at[edges], edges, np.append(edges[1:], starts) - 1
 
@@ -164,11 +159,11 @@ def _sampled(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "key long, at long, core long, whole long, n_bytes long, digest string")
 
 
-def _between(texts: DataFrame) -> DataFrame:
-    """(key, start, name, weight, asked) of the strings of the samples listed in ``asks``.
+def _parts(texts: DataFrame) -> DataFrame:
+    """(key, at, part, name, weight, asked): parts of PART starts of the samples in ``asks``.
 
-    These are the suffixes between samples that the names of samples do not settle; each is
-    named by its own LENGTH bytes.
+    A part holds the starts whose offset to the sample has the same quotient by PART; its name is
+    that of the bytes all its strings share, so a part found once is done with.
     """
 
     def run(batches):
@@ -177,20 +172,55 @@ def _between(texts: DataFrame) -> DataFrame:
                 data = text.encode()
                 prints = Prints(np.frombuffer(data, np.uint8))
                 at, first, last = samples(prints, len(data))
-                wanted = {a["at"]: a for a in asks}
-                rows = [k for k, a in enumerate(at.tolist()) if a in wanted]
-                if not rows:
-                    continue
-                start = np.concatenate([np.arange(first[k], last[k] + 1) for k in rows])
-                sizes = [int(last[k] - first[k] + 1) for k in rows]
-                marks = [wanted[int(at[k])] for k in rows]
+                rows = np.searchsorted(at, [a["at"] for a in asks])
+                low, high = (at - last)[rows] // PART, (at - first)[rows] // PART
+                count = high - low + 1
+                part = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+                place = np.repeat(at[rows], count)
+                latest = place - PART * part
+                name = prints.of(latest, latest - PART + 1 + LENGTH)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(part), key), pa.int64()),
+                        pa.array(place, pa.int64()),
+                        pa.array(part, pa.int32()),
+                        _signed(_mixed(name + part.astype(np.uint64))),
+                        pa.array(np.repeat([a["weight"] for a in asks], count), pa.int64()),
+                        pa.array(np.repeat([a["asked"] for a in asks], count), pa.bool_()),
+                    ],
+                    names=["key", "at", "part", "name", "weight", "asked"],
+                )
+
+    return texts.mapInArrow(run, "key long, at long, part int, name long, weight long, asked boolean")
+
+
+def _between(texts: DataFrame) -> DataFrame:
+    """(key, start, name, weight, asked) of the strings of the parts listed in ``parts``.
+
+    These are the suffixes between samples that the names of samples and parts do not settle; each
+    is named by its own LENGTH bytes.
+    """
+
+    def run(batches):
+        for piece, bodies in chunks(batches, "body"):
+            for key, text, parts in zip(piece.column(0).to_pylist(), bodies, piece.column(2).to_pylist()):
+                data = text.encode()
+                prints = Prints(np.frombuffer(data, np.uint8))
+                at, first, last = samples(prints, len(data))
+                place = np.array([p["at"] for p in parts])
+                part = np.array([p["part"] for p in parts])
+                rows = np.searchsorted(at, place)
+                low = np.maximum(first[rows], place - PART * (part + 1) + 1)
+                high = np.minimum(last[rows], place - PART * part)
+                count = high - low + 1
+                start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(start), key), pa.int64()),
                         pa.array(start, pa.int64()),
                         _signed(prints.of(start, start + LENGTH)),
-                        pa.array(np.repeat([m["weight"] for m in marks], sizes), pa.int64()),
-                        pa.array(np.repeat([m["asked"] for m in marks], sizes), pa.bool_()),
+                        pa.array(np.repeat([p["weight"] for p in parts], count), pa.int64()),
+                        pa.array(np.repeat([p["asked"] for p in parts], count), pa.bool_()),
                     ],
                     names=["key", "start", "name", "weight", "asked"],
                 )
@@ -249,8 +279,9 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     Samples stand for the suffixes around them, as a difference cover does: equal strings have
     their sample at the same offset, so a string is repeated only if its sample's core is. Samples
     whose core is found once are done with. Of the others, one whose whole surroundings are found
-    twice settles all its strings; the strings of the rest are named one by one, and so are those
-    of one copy of each settled sample with the same core, which they may equal.
+    twice settles all its strings. The rest, and one copy of each settled sample with the same
+    core, which they may equal, are cut into parts that are named in the same way; where a part is
+    found twice its strings are named one by one.
 
     Null and empty texts have no bytes. Texts under LENGTH bytes lose none. Repeated rows are
     repeats of each other and come back one by one. Other columns are ignored. An empty table
@@ -280,7 +311,12 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         F.min("body").alias("body"), F.first("asks").alias("asks"), F.first("held").alias("held")
     )
     bodies = materialize(bodies, "bodies")
-    between = materialize(_between(bodies.where("asks IS NOT NULL").select("key", "body", "asks")), "between")
+    parts = materialize(_parts(bodies.where("asks IS NOT NULL").select("key", "body", "asks")), "parts")
+    shared = parts.groupBy("name").agg(F.sum("weight").alias("n"), F.max("asked").alias("any")).where("n > 1 AND any")
+    listed = parts.join(shared.select("name"), "name").groupBy("key").agg(
+        F.collect_list(F.struct("at", "part", "weight", "asked")).alias("parts")
+    )
+    between = materialize(_between(bodies.join(listed, "key").select("key", "body", "parts")), "between")
     names = between.groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name")
     single = between.where("asked").join(names, "name").groupBy("key").agg(F.collect_list("start").alias("single"))
     cut = _cut(bodies.join(single, "key", "left").select("key", "body", "held", "single"))
