@@ -196,3 +196,50 @@ def test_checksums_gate_snapshots(spark, zones):
     snapshot_transactions(spark, zones, specs, CLOCK + timedelta(days=1))
     silver = Store(spark, zones, "silver").read("Declines")
     assert sorted(r["amount"] for r in silver.collect()) == ["6", "7"]
+
+
+def test_a_load_that_commits_meanwhile_wins(spark, zones, monkeypatch):
+    """The later commit fails; no file is taken in twice, no row is lost, a repeat succeeds."""
+    import varve.plans.bronze as bronze
+
+    land(zones, "t", "a.jsonl", [{"id": 1, "v": "a"}])
+    load(spark, zones, T)
+    for when, name, day in (("materialize_counted", "b", 1), ("upsert_versions", "c", 3)):
+        land(zones, "t", f"{name}.jsonl", [{"id": 1, "v": name}, {"id": 2, "v": name}])
+        real = getattr(bronze, when)
+
+        def meanwhile(*args, **options):
+            monkeypatch.setattr(bronze, when, real)
+            land(zones, "t", f"{name}2.jsonl", [{"id": 1, "v": name + "2"}])
+            load(spark, zones, T, day)
+            return real(*args, **options)
+
+        monkeypatch.setattr(bronze, when, meanwhile)
+        with pytest.raises(RuntimeError, match="another writer"):
+            load(spark, zones, T, day + 0.5)
+        assert load(spark, zones, T, day + 0.75).status == "no new files"
+    files = [r["file"] for r in Store(spark, zones).consumed("t").collect()]
+    assert len(files) == len(set(files)) == 5
+    assert state(spark, zones, "t", "id", "v") == sorted(
+        [(1, "a"), (1, "b"), (2, "b"), (1, "b2"), (1, "c"), (2, "c"), (1, "c2")]
+    )
+
+
+def test_a_key_that_widened_stays_one_key(spark, zones):
+    for day, ids in enumerate((["1", "2"], ["1.0", "2.5"], ["1", "2"])):
+        land(zones, "t", f"{day}.jsonl", "".join(f'{{"id": {i}, "v": "{day}"}}\n' for i in ids))
+        load(spark, zones, T, day)
+    rows = state(spark, zones, "t", "id", "v", "_initial", "_latest")
+    assert rows == [
+        (1.0, "0", True, False), (1.0, "1", False, False), (1.0, "2", False, True),
+        (2.0, "0", True, False), (2.0, "2", False, True), (2.5, "1", True, True),
+    ]
+
+
+def test_text_history_is_not_written_again(spark, zones):
+    spec = TableSpec("t", "id", drift="string")
+    for day, v in enumerate(("1", '"x"', "2", "3")):
+        land(zones, "t", f"{day}.jsonl", f'{{"id": {day}, "v": {v}}}\n')
+        load(spark, zones, spec, day)
+    commit = Store(spark, zones).commit_of("t")
+    assert commit.rows < 4 and state(spark, zones, "t", "v") == [("1",), ("2",), ("3",), ("x",)]

@@ -240,13 +240,22 @@ PAGE = 200
 
 
 @query(
-    f"""SELECT b.page, b.total, event_id, event_type, value FROM events
-        JOIN (SELECT event_id // {PAGE} AS page, count(*) AS total FROM events
-              GROUP BY 1 HAVING max(value) < 300) b ON event_id // {PAGE} = b.page""",
+    f"""WITH pages AS (SELECT event_id // {PAGE} AS page, count(*) AS total, max(value) < 300 AS fine,
+                             min(event_id) AS first FROM events GROUP BY 1)
+        SELECT page, total, event_id, event_type, value, NULL AS reason
+        FROM events JOIN pages ON event_id // {PAGE} = page
+        WHERE fine AND page % 6 <> 5 AND (page % 3 <> 1 OR event_id = first)
+        UNION ALL
+        SELECT page, total, NULL, NULL, NULL,
+               CASE WHEN fine THEN 'rows are neither an array nor an object' ELSE 'not ok' END
+        FROM pages WHERE NOT fine OR page % 6 = 5""",
     name="unpack_envelope",
 )
 def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Response bodies to rows; bodies that report a failure are rejected."""
+    """Response bodies to rows, and the rejected ones with their reason.
+
+    A third of the bodies holds one object instead of an array, a sixth holds a number.
+    """
     bodies = (
         table(spark, sf_dir, "events")
         .groupBy(F.floor(F.col("event_id") / PAGE).alias("page"))
@@ -256,9 +265,19 @@ def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.collect_list(F.struct("event_id", "event_type", "value")).alias("rows"),
         )
         .withColumn("message", F.when(F.col("status"), "Success").otherwise("Failed"))
-        .select("page", F.to_json(F.struct("status", "message", "total", "rows")).alias("body"))
+        .withColumn("page_rows", F.to_json("rows"))
+        .withColumn("first", F.to_json(F.array_min("rows")))
+        .select("page", F.to_json(F.struct("status", "message", "total", F.lit("@rows").alias("rows"))).alias("body"), "page_rows", "first")
+        .select(
+            "page",
+            F.replace(
+                "body",
+                F.lit('"@rows"'),
+                F.when(F.col("page") % 6 == 5, "17").when(F.col("page") % 3 == 1, F.col("first")).otherwise(F.col("page_rows")),
+            ).alias("body"),
+        )
     )
-    rows, _ = unpack_envelope(
+    rows, rejected = unpack_envelope(
         bodies,
         "body",
         "rows",
@@ -266,7 +285,9 @@ def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         envelope_schema="status BOOLEAN, message STRING, total BIGINT",
         keep=["page", "total"],
     )
-    return rows
+    return rows.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        rejected.select("page", "total", "reason"), allowMissingColumns=True
+    )
 
 
 @query(

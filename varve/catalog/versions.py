@@ -103,16 +103,32 @@ def snapshot_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deleted_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content that the newest snapshot of its date no longer has."""
     rows = hashed(table(spark, sf_dir, "lineitem"), ["l_shipdate", "l_returnflag", "l_linestatus"])
+    rows = rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "_row_hash")
     flagged = materialize(add_version_flags(rows, "l_shipdate", ts="l_linenumber"), "flagged")
     deleted = add_deleted_flag(flagged, "l_shipdate", ts="l_linenumber")
     return deleted.select("l_orderkey", "l_linenumber", "l_partkey", "_deleted")
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey, NOT bool_or(alive) OVER
+                (PARTITION BY l_orderkey, l_returnflag, l_linestatus) AS _deleted
+       FROM (SELECT *, l_linenumber = max(l_linenumber) OVER (PARTITION BY l_orderkey)
+                         AND l_linenumber = max(l_linenumber) OVER (PARTITION BY l_shipdate) AS alive FROM lineitem)"""
+)
+def deleted_flag_other_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where versions go by another key than the date."""
+    rows = hashed(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_returnflag", "l_linestatus"])
+    rows = rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "_row_hash")
+    flagged = materialize(add_version_flags(rows, "l_orderkey", ts="l_linenumber"), "flagged")
+    deleted = add_deleted_flag(flagged, "l_shipdate", ts="l_linenumber")
+    return deleted.select("l_orderkey", "l_linenumber", "l_partkey", "_deleted")
+
+
 @query(FEED_FLAGS)
 def incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change-only upsert of the later days into the earlier ones."""
     rows = feed(spark, sf_dir)
     early = add_version_flags(rows.where("day < DATE'2024-01-21'"), "user_id", ts="day")
     history = materialize(early, "history")
-    new = rows.where("day >= DATE'2024-01-21'")
+    new = materialize(rows.where("day >= DATE'2024-01-21'"), "new")
     return upsert_versions(history, new, "user_id", ts="day").select(*RESULT)

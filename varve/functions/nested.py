@@ -48,26 +48,37 @@ def unpack_envelope(
     """Split response bodies into their rows and the rejected bodies.
 
     A body passes when ``ok`` is true for it and it reports no ``errors``; its rows sit
-    in the array ``rows_field``. ``keep`` names key columns and envelope fields to put in
-    front of every row. ``rejected`` keeps the whole body with its message, errors and
-    warnings.
+    in ``rows_field``, as an array of objects or as one object. ``keep`` names key columns
+    and envelope fields, such as ``warnings``, to put in front of every row. ``rejected``
+    keeps the whole body with its message, errors and warnings, and the ``reason``: the
+    envelope is not ok, it has errors, or its rows field is there but is neither.
     """
     keep = keep or []
     schema = (
         f"{envelope_schema}, warnings ARRAY<STRING>, errors ARRAY<STRING>, "
-        f"`{rows_field}` ARRAY<STRUCT<{row_schema}>>"
+        f"`{rows_field}` STRING"
     )
+    row = T._parse_datatype_string(row_schema)
+    text = F.ltrim(column(rows_field))
     parsed = bodies.withColumn("_envelope", F.from_json(column(body), schema))
     envelope_names = [f.name for f in parsed.schema["_envelope"].dataType]
     flat = parsed.select(
         *bodies.columns, *[F.col("_envelope")[n].alias(n) for n in envelope_names]
     ).withColumn(
-        "_ok",
-        F.coalesce(F.expr(ok), F.lit(False)) & (F.coalesce(F.size("errors"), F.lit(0)) <= 0),
+        "_rows",
+        F.when(text.startswith("["), F.from_json(text, T.ArrayType(row))).when(
+            text.startswith("{"), F.array(F.from_json(text, row))
+        ),
     )
-    rows = flat.where("_ok").select(*[column(k) for k in keep], F.inline(column(rows_field)))
-    rejected = flat.where("NOT _ok").select(
-        *bodies.columns, *[n for n in envelope_names if n != rows_field and n not in bodies.columns]
+    flat = flat.withColumn(
+        "reason",
+        F.when(~F.coalesce(F.expr(ok), F.lit(False)), "not ok")
+        .when(F.coalesce(F.size("errors"), F.lit(0)) > 0, "errors")
+        .when(column(rows_field).isNotNull() & F.col("_rows").isNull(), "rows are neither an array nor an object"),
+    )
+    rows = flat.where("reason IS NULL").select(*[column(k) for k in keep], F.inline("_rows"))
+    rejected = flat.where("reason IS NOT NULL").select(
+        *bodies.columns, *[n for n in envelope_names if n != rows_field and n not in bodies.columns], "reason"
     )
     return rows, rejected
 

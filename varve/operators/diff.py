@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.functions.columns import column
+from varve.session import written_report
 
 
 def table_diff(
@@ -48,7 +49,9 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
 
 
 def require_unique(df: DataFrame, key: str) -> None:
-    """Fail when a name occurs twice, reporting up to ten of them."""
-    found = duplicates(df, key).orderBy(F.desc("n"), "name").take(10)
-    if found:
-        raise ValueError("names are not unique: " + ", ".join(f"{r['name']} ({r['n']})" for r in found))
+    """Fail when a name occurs twice; all such names are written, the most frequent are named."""
+    path, rows = written_report(duplicates(df, key), "duplicates")
+    if rows:
+        most = df.sparkSession.read.parquet(path).orderBy(F.desc("n"), "name").take(3)
+        named = ", ".join(f"{r['name']} ({r['n']})" for r in most)
+        raise ValueError(f"names are not unique: {rows}, all in {path}, such as {named}")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.functions.columns import column
+from varve.session import written_report
 
 CORRUPT = "_corrupt_record"
 
@@ -37,10 +38,11 @@ def totals(
 
 
 def require(report: DataFrame, what: str) -> None:
-    """Fail when a report has a row that is not ``ok``, naming up to ten."""
-    bad = report.where("NOT ok").take(10)
-    if bad:
-        raise ValueError(f"{what}: {[row.asDict() for row in bad]}")
+    """Fail when a report has rows that are not ``ok``; all are written, a few are named."""
+    path, rows = written_report(report.where("NOT ok"), "report")
+    if rows:
+        some = [row.asDict() for row in report.sparkSession.read.parquet(path).take(3)]
+        raise ValueError(f"{what}: {rows} rows, all in {path}, such as {some}")
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

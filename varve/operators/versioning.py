@@ -132,11 +132,12 @@ def add_deleted_flag(
     Needs a right ``_latest`` and complete snapshots: every batch that holds a date holds
     all its rows.
     """
-    alive = (
-        latest(df.where("_latest"), date_col, ts)
-        .select(column(row_hash).alias("__alive"))
-        .distinct()
-    )
+    # The newest snapshot of a date is found over all its rows: those that hold it may have
+    # been overtaken under another date.
+    newest = df.groupBy(column(date_col).alias("__date")).agg(F.max(column(ts)).alias("__newest"))
+    held = column(date_col).eqNullSafe(F.col("__date")) & (column(ts) == F.col("__newest"))
+    current = df.where("_latest").join(newest, held, "left_semi")
+    alive = current.select(column(row_hash).alias("__alive")).distinct()
     joined = df.join(alive, column(row_hash) == F.col("__alive"), "left")
     return joined.withColumn("_deleted", F.col("__alive").isNull()).drop("__alive")
 

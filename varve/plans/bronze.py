@@ -10,7 +10,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from varve.functions.columns import column
 from varve.functions.times import clock_micros
 from varve.operators.metadata import add_basic_metadata, stamp_batches
 from varve.operators.quality import CORRUPT, split_corrupt
@@ -23,7 +25,7 @@ from varve.operators.versioning import (
 from varve.session import materialize, materialize_counted
 from varve.sources.files import manifest, new_files, read_csv, read_jsonl
 from varve.sources.folders import Folder
-from varve.sources.store import GENERATIONS, Store, bucket_of
+from varve.sources.store import GENERATIONS, LATEST, Commit, Store, bucket_of
 from varve.spec import TableSpec, Zones
 
 
@@ -47,10 +49,27 @@ class LoadFailure(Exception):
         super().__init__(f"{len(failed)} of {len(outcomes)} tables failed: {failed}")
 
 
-def waiting(spark: SparkSession, store: Store, table: str) -> DataFrame:
+def waiting(
+    spark: SparkSession, store: Store, table: str, base: Commit | None = LATEST
+) -> DataFrame:
     """The landing files of a table that it has not taken in yet."""
     found = manifest(spark, store.zones.landing, [table])
-    return new_files(found, store.consumed(table), on="file")
+    return new_files(found, store.consumed(table, base), on="file")
+
+
+def key_as_stored(df: DataFrame, spec: TableSpec, base: Commit | None) -> DataFrame:
+    """New rows with their key in the type the table stores it in, where that is the wider one.
+
+    Buckets and hashes go by a key's text, and 1 and 1.0 must be one key.
+    """
+    if base is None:
+        return df
+    for name, kind in drifted(base.schema, df.schema).items():
+        stored = base.schema[name].dataType
+        as_text = kind is None and spec.drift == "string" and isinstance(stored, T.StringType)
+        if name in spec.key and (kind == stored or as_text):
+            df = df.withColumn(name, column(name).cast(stored))
+    return df
 
 
 def scan(spark: SparkSession, spec: TableSpec, paths: Sequence[str], ext: str) -> DataFrame:
@@ -86,7 +105,9 @@ def ingest_bronze(
     files taken in to ``processed/`` afterwards.
     """
     store = store or Store(spark, zones)
-    stage, files = store.stage_files(spec.name, waiting(spark, store, spec.name))
+    # Read once: what the load selects, reads and replaces all hangs on this commit.
+    base = store.commit_of(spec.name)
+    stage, files = store.stage_files(spec.name, waiting(spark, store, spec.name, base))
     # One row per landing batch: Spark's own file index of the scan holds more.
     batches = sorted(files.select("batch", "folder", "ext").distinct().collect())
     if not batches:
@@ -95,8 +116,9 @@ def ingest_bronze(
     if len(found) > 1:
         raise TypeError(f"mixed file types in {spec.name!r}: {sorted(found)}")
     names, folders = [b["batch"] for b in batches], [b["folder"] for b in batches]
-    rows = stamped(scan(spark, spec, folders, found.pop()), spec, names, clock, code_version)
-    outcome = load_rows(store, spec, rows, stage, clock, len(names))
+    scanned = key_as_stored(scan(spark, spec, folders, found.pop()), spec, base)
+    rows = stamped(scanned, spec, names, clock, code_version)
+    outcome = load_rows(store, spec, rows, stage, clock, len(names), base)
     if archive:
         done = Folder(spark, f"{zones.landing}/{spec.name}/processed")
         for folder in folders:
@@ -111,10 +133,15 @@ def load_rows(
     files: str | None,
     clock: datetime,
     batches: int = 1,
+    base: Commit | None = LATEST,
 ) -> Outcome:
-    """Add stamped rows to a bronze table and bring its flags up to date."""
+    """Add stamped rows to a bronze table and bring its flags up to date.
+
+    ``base`` is the commit by which the files were selected. A load that commits meanwhile
+    makes this one fail; repeated, it takes in what is still waiting.
+    """
     table, key = spec.name, spec.key
-    commit = store.commit_of(table)
+    commit = store.commit_of(table) if base is LATEST else base
     last = clock_micros(clock) + batches - 1
     if commit is not None and clock_micros(clock) <= commit.clock:
         raise ValueError(f"the clock {clock} is not later than the newest batch of {table!r}")
@@ -134,36 +161,39 @@ def load_rows(
     outcome = Outcome(table, "loaded", good, counts["corrupt"])
     covers = spec.hash_mode == "strict" and not any(k.startswith("_") for k in key)
 
-    history = store.read_or_none(table)
+    history = store.read_or_none(table, base=commit)
     if history is not None and not _retypes(history, new):
         # Rows that are no longer latest never change again: they are neither read whole
         # nor written, but for buckets where they have come to lie in many folders.
         touched = counts["buckets"]
         merged = upsert_versions(
-            store.read_or_none(table, touched, is_open=True),
+            store.read_or_none(table, touched, is_open=True, base=commit),
             new,
             key,
             drift=spec.drift,
             new_rows=good,
-            hash_history=store.read_or_none(table, touched) if covers else history,
+            hash_history=store.read_or_none(table, touched, base=commit) if covers else history,
         )
         compact = [b for b in touched if len(commit.parts.get(commit.part(b, False), [])) >= GENERATIONS]
         if compact:
-            closed = store.read_or_none(table, compact, is_open=False)
+            closed = store.read_or_none(table, compact, is_open=False, base=commit)
             merged = merged.unionByName(closed, allowMissingColumns=True)
-        store.replace_buckets(merged, table, touched, compact, files, last)
+        store.replace_buckets(merged, table, touched, compact, files, last, base=commit)
         return outcome
     # A first load; or a column changed its type, which stored files cannot do in place.
     whole = new if history is None else union_history(history, new, spec.drift)
     flagged = add_version_flags(whole, key, hash_covers_key=covers)
-    store.replace(flagged, table, key, "_latest", files, last)
+    store.replace(flagged, table, key, "_latest", files, last, base=commit)
     return outcome
 
 
 def _retypes(history: DataFrame, new: DataFrame) -> bool:
-    """Whether a column of the history must change its type to take in the new rows."""
-    common = drifted(history.schema, new.schema)
-    return any(kind != history.schema[name].dataType for name, kind in common.items())
+    """Whether a column of the history must change its type to take in the new rows.
+
+    A column that is text already stays so; the new rows alone are turned to text.
+    """
+    stored = {name: (history.schema[name].dataType, kind) for name, kind in drifted(history.schema, new.schema).items()}
+    return any(kind != old and not (kind is None and isinstance(old, T.StringType)) for old, kind in stored.values())
 
 
 def quarantined(

@@ -75,6 +75,13 @@ def materialize_counted(df: DataFrame, name: str, **counts: Column) -> tuple[Dat
     return written, counted.get
 
 
+def written_report(df: DataFrame, name: str) -> tuple[str, int]:
+    """Write a report of any length for who reads an error; its path and number of rows."""
+    path, counted = fresh_dir(df.sparkSession, name), Observation()
+    df.observe(counted, F.count("*").alias("rows")).write.parquet(path)
+    return path, counted.get["rows"]
+
+
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the counted rows are within ``limit``, else leave it to AQE."""
     return F.broadcast(df) if rows <= limit else df

@@ -99,7 +99,10 @@ def read_csv(
         if not names:
             continue
         fields = [T.StructField(n, kinds.get(n, T.StringType())) for n in names]
-        scans.append(_with_source(reader.schema(T.StructType(fields)).csv(group)))
+        # A part file of a folder whose header differs from the first one's must not be
+        # read by position.
+        checked = reader.option("enforceSchema", any(n.startswith("_c") for n in names))
+        scans.append(_with_source(checked.schema(T.StructType(fields)).csv(group)))
     if not scans:
         return spark.createDataFrame([], T.StructType([T.StructField(SOURCE, T.StringType())]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -11,7 +12,7 @@ class Folder:
     """A small folder, such as a commit log, or a landing batch."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self._jvm = spark._jvm
+        self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
         self._path = self._jvm.org.apache.hadoop.fs.Path(path)
         self._fs = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -63,6 +64,23 @@ class Folder:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        target = self._child(name)
-        if self._fs.exists(target) or not self._fs.rename(draft, target):
-            raise RuntimeError(f"{name} was committed by another writer")
+        try:
+            self._claim(draft, self._child(name))
+        except Py4JJavaError as error:
+            raise RuntimeError(f"{name} was committed by another writer") from error
+        finally:
+            self._fs.delete(draft, False)
+
+    def _claim(self, draft, target) -> None:
+        """Give a file its final name, in one step that fails when the name is taken."""
+        if self._fs.getScheme() == "file":
+            old, new = (self._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (draft, target))
+            self._jvm.java.nio.file.Files.createLink(new, old)
+            return
+        hadoop = self._jvm.org.apache.hadoop.fs
+        context = hadoop.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf())
+        # Without the option to overwrite, a rename refuses an existing target.
+        kind = getattr(hadoop, "Options$Rename")
+        options = self._gateway.new_array(kind, 1)
+        options[0] = kind.NONE
+        context.rename(draft, target, options)

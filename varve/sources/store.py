@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -26,6 +27,9 @@ from varve.spec import Zones, one_of, plain_name
 BUCKET = "_bucket"
 FILES = "table string, batch string, folder string, ext string, file string"
 
+# Stands for the newest commit, where a caller has not read one yet.
+LATEST: Any = object()
+
 # Generations a closed part may be spread over before a load writes it as one again.
 GENERATIONS = 32
 
@@ -105,13 +109,18 @@ class Store:
         return Commit.from_json(folder.read(names[-1])) if names else None
 
     def read_or_none(
-        self, table: str, buckets: Iterable[int] | None = None, is_open: bool | None = None
+        self,
+        table: str,
+        buckets: Iterable[int] | None = None,
+        is_open: bool | None = None,
+        base: Commit | None = LATEST,
     ) -> DataFrame | None:
         """The table, or None before its first load.
 
-        ``buckets`` reads some buckets only, ``is_open`` only open or only closed rows.
+        ``buckets`` reads some buckets only, ``is_open`` only open or only closed rows;
+        ``base`` reads the table as that commit left it.
         """
-        commit = self.commit_of(table)
+        commit = self.commit_of(table) if base is LATEST else base
         if commit is None:
             return None
         parts = commit.parts
@@ -139,9 +148,9 @@ class Store:
             raise FileNotFoundError(f"table {table!r} has not been loaded yet")
         return df
 
-    def consumed(self, table: str) -> DataFrame:
+    def consumed(self, table: str, base: Commit | None = LATEST) -> DataFrame:
         """The landing files the table has taken in (K6)."""
-        commit = self.commit_of(table)
+        commit = self.commit_of(table) if base is LATEST else base
         staged = commit.consumed if commit else []
         paths = [f"{self._control(table)}/consumed/gen={g}" for g in staged]
         if not paths:
@@ -163,6 +172,7 @@ class Store:
         split: str | None = None,
         files: str | None = None,
         clock: int = 0,
+        base: Commit | None = LATEST,
         **derived,
     ) -> Commit:
         """Make ``df`` the table, whatever it was; ``df`` may read the table (K2, K3).
@@ -170,9 +180,10 @@ class Store:
         With ``key`` the rows are laid out in buckets, so that later loads can replace
         some of them; with ``split``, a flag that never turns true again, its closed rows
         (flag false) are kept apart. ``files`` names a staged list of files, taken in by
-        this commit.
+        this commit. ``base`` is the commit that ``df`` was made from: should another
+        writer have committed since, the write fails and leaves that one's table.
         """
-        old = self.commit_of(table)
+        old = self.commit_of(table) if base is LATEST else base
         buckets = (old.buckets if old and old.buckets else self.buckets) if key else None
         layout = {"key": list(key or []), "buckets": buckets, "split": split if key else None}
         return self._write(df, table, old, {}, layout, files, clock, derived)
@@ -185,14 +196,16 @@ class Store:
         compact: Iterable[int] = (),
         files: str | None = None,
         clock: int = 0,
+        base: Commit | None = LATEST,
         **derived,
     ) -> Commit:
         """Make ``df`` the content of the named buckets; others stay (K4).
 
         In a split table it is their whole open content, and closed rows of ``df`` are
-        added to those stored, or replace them in the buckets to ``compact``.
+        added to those stored, or replace them in the buckets to ``compact``. ``base`` is
+        as in :meth:`replace`.
         """
-        old = self.commit_of(table)
+        old = self.commit_of(table) if base is LATEST else base
         if old is None or old.buckets is None:
             raise ValueError(f"table {table!r} is not laid out in buckets")
         gone = {old.part(b, True) for b in buckets} | {old.part(b, False) for b in compact}

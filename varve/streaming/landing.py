@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from varve.operators.metadata import SOURCE, batch_of
-from varve.plans.bronze import load_rows, stamped
+from varve.plans.bronze import key_as_stored, load_rows, stamped
 from varve.session import materialize
 from varve.sources.files import MICROS, as_struct, new_files, with_corrupt
 from varve.sources.store import Store
@@ -30,7 +30,8 @@ def stream_landing(
     """New files of a landing folder, each once; the checkpoint knows which were read.
 
     ``archive`` moves files that are done; they move when a later batch runs, so the
-    folder tells nothing about what has been read.
+    folder tells nothing about what has been read. Files below ``processed/`` are left
+    out. A CSV file whose header differs from the schema's names fails the stream.
     """
     options = {"recursiveFileLookup": True, "pathGlobFilter": "*", **MICROS}
     if archive:
@@ -39,10 +40,14 @@ def stream_landing(
         options["maxFilesPerTrigger"] = files_per_trigger
     reader = spark.readStream.options(**options)
     if ext == "csv":
-        scan = reader.schema(as_struct(schema)).options(header=True, escape=quote_escape).csv(path)
+        scan = reader.schema(as_struct(schema)).options(
+            header=True, escape=quote_escape, enforceSchema=False
+        ).csv(path)
     else:
         scan = reader.schema(with_corrupt(schema)).json(path)
-    return scan.select("*", F.col("_metadata.file_path").alias(SOURCE))
+    found = scan.select("*", F.col("_metadata.file_path").alias(SOURCE))
+    # What a load by batch has taken in and moved away comes by here again.
+    return found.where(~F.contains(SOURCE, F.lit("/processed/")))
 
 
 def run_available(
@@ -90,6 +95,7 @@ def ingest_stream(
     store = store or Store(spark, zones)
 
     def load(rows: DataFrame, epoch: int) -> None:
+        base = store.commit_of(spec.name)
         staged = materialize(rows, "stream")
         files = staged.select(
             F.lit(spec.name).alias("table"),
@@ -99,15 +105,15 @@ def ingest_stream(
             F.col(SOURCE).alias("file"),
         ).distinct()
         stage, fresh = store.stage_files(
-            spec.name, new_files(files, store.consumed(spec.name), on="file")
+            spec.name, new_files(files, store.consumed(spec.name, base), on="file")
         )
         names = [r["batch"] for r in fresh.select("batch").distinct().collect()]
         if not names:
             return
         now = clock(epoch)
         wanted = staged.join(fresh.select("file"), F.col(SOURCE) == F.col("file"), "left_semi")
-        versions = stamped(wanted, spec, names, now, code_version)
-        load_rows(store, spec, versions, stage, now, len(names))
+        versions = stamped(key_as_stored(wanted, spec, base), spec, names, now, code_version)
+        load_rows(store, spec, versions, stage, now, len(names), base)
 
     stream = stream_landing(
         spark, f"{zones.landing}/{spec.name}", spec.schema, ext,
