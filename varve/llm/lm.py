@@ -23,7 +23,9 @@ BATCH, NOISE, RATE, ROUNDS = 8192, 96, 0.15, 1
 # Different words that a task counts before it hands its counts on.
 HELD_WORDS = 400_000
 # Contexts whose probabilities are worked out at once.
-TOGETHER = 4096
+TOGETHER = 1024
+# Characters of text whose contexts are looked at together: repeated ones are worked out once.
+SCORED_CHARS = 1 << 22
 
 END = b" "  # white space is no part of a word, so no word is the end
 SEED = 20_240_202
@@ -151,10 +153,14 @@ def log10_probabilities(model: Model, ids: np.ndarray, context: np.ndarray) -> n
     _, first, which = np.unique(keys, return_index=True, return_inverse=True)
     query = sum(model.context[context[first, k]] * model.places[k] for k in range(CONTEXT))
     norm = np.empty(len(first), np.float64)
+    turned, ones = np.ascontiguousarray(model.target.T), np.ones(len(model.target), np.float32)
     for at in range(0, len(first), TOGETHER):
-        logits = query[at : at + TOGETHER] @ model.target.T + model.bias
+        logits = query[at : at + TOGETHER] @ turned
+        logits += model.bias
         top = logits.max(axis=1)
-        norm[at : at + TOGETHER] = top + np.log(np.exp(logits - top[:, None]).sum(axis=1, dtype=np.float64))
+        logits -= top[:, None]
+        np.exp(logits, out=logits)
+        norm[at : at + TOGETHER] = top + np.log((logits @ ones).astype(np.float64))
     own = np.einsum("nd,nd->n", query[which], model.target[ids]).astype(np.float64) + model.bias[ids]
     return (own - norm[which]) / np.log(10)
 
@@ -346,7 +352,7 @@ def _scored(docs: DataFrame, keep: list[str], known: Vocabulary, model: Model) -
         value, packed = shared.value
         fitted, reader = Model.unpack(packed, len(value.shares)), Reader(value)
         number = TaskContext.get().partitionId() << 40
-        for piece, texts in chunks(batches, "body"):
+        for piece, texts in chunks(batches, "body", SCORED_CHARS):
             keys, ids, starts = reader.read(texts)
             scores = log10_probabilities(fitted, ids, contexts(ids, starts, len(value.shares)))
             distinct, which = np.unique(keys, return_inverse=True)
