@@ -100,6 +100,24 @@ def _postings_of(query: Query, postings: Column) -> Column:
     return reduce(F.array_intersect, [reduce(F.array_union, [all_of(s) for s in clause]) for clause in query])
 
 
+def _held_grams(low: Column, sets: set[frozenset[str]]) -> Column:
+    """The trigrams of ``sets`` that a text holds, but for those of sets that it cannot hold whole.
+
+    The trigram of most sets is looked for first; only where it is found are the others of its
+    sets looked for. A set with a trigram that is missing is out of every intersection anyhow.
+    """
+    open_sets = {s for s in sets if s}
+    if not open_sets:
+        return F.array().cast("array<string>")
+    grams = {g for s in open_sets for g in s}
+    lead = min(grams, key=lambda g: (-sum(g in s for s in open_sets), g))
+    with_it = {s - {lead} for s in open_sets if lead in s}
+    found = F.when(F.contains(low, F.lit(lead)), F.concat(F.array(F.lit(lead)), _held_grams(low, with_it)))
+    return F.concat(
+        found.otherwise(F.array().cast("array<string>")), _held_grams(low, {s for s in open_sets if lead not in s})
+    )
+
+
 def candidates(texts: DataFrame, key: str, text: str, rules=RULES) -> DataFrame:
     """(key, rules): the numbers of the rules whose trigram query the text satisfies.
 
@@ -108,14 +126,15 @@ def candidates(texts: DataFrame, key: str, text: str, rules=RULES) -> DataFrame:
     A posting list spans one block of keys, so its length is bounded however common its trigram is.
     """
     queries = {n: q for n, r in enumerate(rules) if (q := trigram_query(r.pattern))}
-    grams = sorted({g for q in queries.values() for clause in q for s in clause for g in s})
+    sets = {s for q in queries.values() for clause in q for s in clause}
     blocks = parts_for(texts.count(), BLOCK_TEXTS)
-    lowered = texts.select(F.col(key).alias("key"), F.lower(text).alias("low"))
-    held = lowered.select(
-        "key", F.filter(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams]), F.isnotnull).alias("held")
-    )
+    # A lambda binds the lowered text, so that it is made once and not for every trigram.
+    marks = F.transform(F.array(F.lower(text)), lambda low: _held_grams(low, sets))
+    held = texts.select(F.col(key).alias("key"), marks[0].alias("held"))
     postings = (
-        held.select("key", F.explode("held").alias("gram"))
+        # The plain explode would get a filter on the array pushed below it, which works it out twice.
+        held.select("key", F.explode_outer("held").alias("gram"))
+        .where("gram IS NOT NULL")
         .groupBy(F.pmod("key", F.lit(blocks)).alias("block"), "gram")
         .agg(F.collect_set("key").alias("keys"))
     )
