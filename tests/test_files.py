@@ -54,7 +54,7 @@ def test_csv_files_unite_by_column_name(spark, tmp_path):
         put(tmp_path, "3.csv", "a,c\n1,3\n"),
         put(tmp_path, "4.csv", ""),
     ]
-    rows = read_csv(spark, paths).drop("_raw_file_source").collect()
+    rows = read_csv(spark, paths).drop("_raw_file_source", "_corrupt_record").collect()
     found = {tuple(sorted(r.asDict().items())) for r in rows}
     assert found == {
         (("a", "1"), ("b", "2"), ("c", None)),
@@ -71,6 +71,14 @@ def test_csv_quotes_and_line_breaks(spark, tmp_path):
     assert read_csv(spark, path).first()["b"] == 'say "hi"'
 
 
+def test_broken_csv_lines_keep_their_text(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "a,b\n1,x\n2\n3,y,z\nfour,w\n\n5,\n")
+    good, bad = split_corrupt(materialize(read_csv(spark, path, "a BIGINT")))
+    assert sorted((r["a"], r["b"]) for r in good.collect()) == [(1, "x"), (5, None)]
+    assert {r["_corrupt_record"] for r in bad.collect()} == {"2", "3,y,z", "four,w"}
+    assert all(r["_raw_file_source"].endswith("a.csv") for r in bad.collect())
+
+
 def test_manifest_lists_only_waiting_batches(spark, tmp_path):
     zones = Zones(str(tmp_path), "events")  # the source's name is a table's name too
     for name in ("events/a.jsonl", "events/processed/old.jsonl", "events/note.txt", "other/b.csv", "c.jsonl"):

@@ -83,6 +83,25 @@ def test_consumed_files_are_archived(spark, tmp_path):
     assert spark.read.parquet(out).count() == 5
 
 
+def test_csv_stream_keeps_broken_lines_out_like_a_load(spark, tmp_path):
+    spec = TableSpec("t", "id", schema="id BIGINT, v STRING")
+    found = []
+    for name in ("stream", "batch"):
+        zones = Zones(str(tmp_path / name), "s")
+        path = Path(zones.landing, "t", "a.csv")
+        path.parent.mkdir(parents=True)
+        path.write_text("id,v\n1,x\n2\n3,y,z\nfour,w\n5,u\n")
+        if name == "stream":
+            ingest_stream(spark, zones, spec, lambda epoch: CLOCK, ext="csv")
+        else:
+            outcome = ingest_bronze(spark, zones, spec, CLOCK)
+            assert (outcome.rows, outcome.corrupt) == (2, 3)
+        rows = Store(spark, zones).read("t")
+        assert "_corrupt_record" not in rows.columns
+        found.append(sorted(rows.select("id", "v", "_latest").collect()))
+    assert found[0] == found[1] == [(1, "x", True), (5, "u", True)]
+
+
 def test_stream_needs_a_schema(spark, tmp_path):
     with pytest.raises(ValueError, match="schema"):
         ingest_stream(spark, Zones(str(tmp_path), "s"), TableSpec("t", "id"), lambda epoch: CLOCK)

@@ -16,7 +16,7 @@ from varve.catalog.base import (
 from varve.functions.times import batch_id, batch_names, lookback
 from varve.operators.filters import extract_window, project_fields
 from varve.operators.metadata import SOURCE, batch_of, stamp_batches
-from varve.operators.quality import formats, reconcile, split_corrupt, verify_checksums
+from varve.operators.quality import CORRUPT, formats, reconcile, split_corrupt, verify_checksums
 from varve.session import fresh_dir, materialize
 from varve.sources.files import (
     land_batches,
@@ -73,7 +73,7 @@ def scan_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = fresh_zones(spark, "scan")
     land_batches(documents.withColumn("name", F.lit("documents")), zones, "documents", "name", "csv")
     path = f"{zones.landing}/documents/batch=documents.csv"
-    return read_csv(spark, path, documents.schema, quote_escape='"', multiline=True).drop(SOURCE)
+    return read_csv(spark, path, documents.schema, quote_escape='"', multiline=True).drop(SOURCE, CORRUPT)
 
 
 @query(
@@ -305,3 +305,33 @@ def corrupt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     return good.drop(SOURCE).unionByName(cut, allowMissingColumns=True)
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_nationkey % 4 = 3 THEN c_nationkey END AS c_nationkey,
+              CASE WHEN c_nationkey % 4 = 3 THEN 'x' END AS mark,
+              CASE c_nationkey % 4 WHEN 0 THEN c_custkey || ',' || c_nationkey
+                                   WHEN 1 THEN c_custkey || ',' || c_nationkey || ',x,y'
+                                   WHEN 2 THEN c_custkey || ',none,x' END AS broken
+       FROM customer""",
+    name="split_corrupt_csv",
+)
+def corrupt_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4: CSV lines that are cut, too long or of another type are kept apart, whole."""
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    kind = F.col("c_nationkey") % 4
+    line = (
+        F.when(kind == 0, F.concat_ws(",", key, nation))
+        .when(kind == 1, F.concat_ws(",", key, nation, F.lit("x"), F.lit("y")))
+        .when(kind == 2, F.concat_ws(",", key, F.lit("none"), F.lit("x")))
+        .otherwise(F.concat_ws(",", key, nation, F.lit("x")))
+    )
+    path = fresh_dir(spark, "cut")
+    lines = table(spark, sf_dir, "customer").select(line.alias("c_custkey,c_nationkey,mark"))
+    lines.write.options(header=True, sep="\t", quote="").csv(path)
+    scanned = materialize(read_csv(spark, path, "c_custkey BIGINT, c_nationkey INT"), "scanned")
+    good, bad = split_corrupt(scanned)
+    cut = bad.select(F.col(CORRUPT).alias("broken")).withColumn(
+        "c_custkey", F.substring_index("broken", ",", 1).cast("long")
+    )
+    return good.drop(SOURCE).unionByName(cut, allowMissingColumns=True)

@@ -89,7 +89,9 @@ def read_csv(
     A path is a file or a folder of files with one header. Paths are scanned together per
     distinct header and united by column name. ``multiline`` keeps line breaks inside
     quotes; such a file cannot be split, so land large exports as many files. The default
-    splits at every line break.
+    splits at every line break. A line with too few or too many fields, or with text that
+    does not read as its column's type, keeps its text in ``_corrupt_record``. Spark finds
+    such lines only where that column is read, so stage the rows with it.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     kinds = {f.name: f.dataType for f in as_struct(schema)} if schema is not None else {}
@@ -98,11 +100,11 @@ def read_csv(
     for names, group in csv_headers(spark, paths).items():
         if not names:
             continue
-        fields = [T.StructField(n, kinds.get(n, T.StringType())) for n in names]
+        fields = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
         # A part file of a folder whose header differs from the first one's must not be
         # read by position.
         checked = reader.option("enforceSchema", any(n.startswith("_c") for n in names))
-        scans.append(_with_source(checked.schema(T.StructType(fields)).csv(group)))
+        scans.append(_with_source(checked.schema(with_corrupt(fields)).csv(group)))
     if not scans:
         return spark.createDataFrame([], T.StructType([T.StructField(SOURCE, T.StringType())]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from varve.operators.metadata import SOURCE, batch_of
 from varve.plans.bronze import key_as_stored, load_rows, stamped
 from varve.session import materialize
-from varve.sources.files import MICROS, as_struct, new_files, with_corrupt
+from varve.sources.files import MICROS, new_files, with_corrupt
 from varve.sources.store import Store
 from varve.spec import TableSpec, Zones
 
@@ -31,7 +31,8 @@ def stream_landing(
 
     ``archive`` moves files that are done; they move when a later batch runs, so the
     folder tells nothing about what has been read. Files below ``processed/`` are left
-    out. A CSV file whose header differs from the schema's names fails the stream.
+    out. A CSV file whose header differs from the schema's names fails the stream. Lines that
+    do not parse keep their text in ``_corrupt_record``.
     """
     options = {"recursiveFileLookup": True, "pathGlobFilter": "*", **MICROS}
     if archive:
@@ -40,7 +41,7 @@ def stream_landing(
         options["maxFilesPerTrigger"] = files_per_trigger
     reader = spark.readStream.options(**options)
     if ext == "csv":
-        scan = reader.schema(as_struct(schema)).options(
+        scan = reader.schema(with_corrupt(schema)).options(
             header=True, escape=quote_escape, enforceSchema=False
         ).csv(path)
     else:
