@@ -28,7 +28,7 @@ HEADLINE = [
     "table_diff",
     "latest_run",
     "chunk_ntile",
-    "paged_counted",
+    "listing_complete",
     "fetch_by_key",
     "replace_buckets",
     "bronze_events",
@@ -61,7 +61,7 @@ def main() -> None:
 
     names = sys.argv[1:] or HEADLINE
     # The first runs in a new JVM and of its Python workers mostly measure their start.
-    for name in ("silver_events", "paged_counted"):
+    for name in ("silver_events", "fetch_by_key"):
         run(name, sf_dir)
     seconds = {name: run(name, sf_dir) for name in names}
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")

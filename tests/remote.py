@@ -1,4 +1,4 @@
-"""Stand-ins for remote services, for queries and tests: pages of a Parquet table."""
+"""A stand-in for a remote service: pages of a Parquet table."""
 
 from __future__ import annotations
 

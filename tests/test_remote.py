@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from varve.catalog.remote import ParquetPages
-from varve.operators.quality import require, totals
+from remote import ParquetPages
+
+from varve.operators.quality import listing_complete, require, totals
 from varve.sources.fetch import Throttled, fetch_by_key, with_retry
 from varve.sources.paged import NoRecords, read_counted_by_key, read_paged
 
@@ -68,6 +69,26 @@ def test_counted_by_key_spreads_pages_and_checks_totals(spark):
         require(checked, "totals")
 
 
+def test_listings_are_complete_or_told(spark):
+    bodies = [
+        ("whole", 1, 2, 3, 2, None), ("whole", 2, 2, 3, 1, None),
+        ("no last page", 1, 2, 3, 2, None),
+        ("page twice", 1, 1, 2, 2, None), ("page twice", 1, 1, 2, 2, None),
+        ("changed total", 1, 2, 3, 2, None), ("changed total", 2, 2, 4, 1, None),
+        ("beyond the end", 1, 1, 2, 1, None), ("beyond the end", 2, 1, 2, 1, None),
+        ("nothing", 1, None, None, 0, "No records found "),
+        ("nothing, yet rows", 1, 1, 1, 1, "no records found"),
+        ("no totals", 1, None, None, 1, None),
+        (None, 1, 1, 1, 1, None),
+    ]
+    columns = "listing string, page long, total_pages long, total_record long, received long, message string"
+    checked = listing_complete(spark.createDataFrame(bodies, columns), "listing").collect()
+    assert {r["listing"] for r in checked if r["ok"]} == {"whole", "beyond the end", "nothing", None}
+    assert len(checked) == 9
+    empty = listing_complete(spark.createDataFrame([], columns), "listing")
+    assert empty.count() == 0
+
+
 def test_payload_shapes_and_name_clash(spark):
     def fetch(key):
         return {

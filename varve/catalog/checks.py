@@ -1,4 +1,4 @@
-"""Paged and keyed sources, and the totals they are checked against."""
+"""Keyed sources, landed listings, and the totals they are checked against."""
 
 from __future__ import annotations
 
@@ -7,26 +7,49 @@ from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varve.catalog.base import query, table
-from varve.catalog.remote import ParquetPages
-from varve.operators.quality import totals
+from varve.catalog.base import fresh_zones, query, table
+from varve.functions.nested import json_to_struct
+from varve.operators.quality import listing_complete, totals
 from varve.sources.fetch import fetch_by_key
-from varve.sources.paged import PAGE_SIZE, read_paged
+from varve.sources.files import land_jsonl, read_jsonl
 
 
-@query("SELECT page_id, url, html FROM pages")
-def paged_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A listing read page by page up to an empty one."""
-    pages = ParquetPages(f"{sf_dir}/pages.parquet")
-    return read_paged(spark, pages.rows, table(spark, sf_dir, "pages").schema)
-
-
-@query("SELECT conv_id, turn, role, text FROM conversations")
-def paged_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A listing that tells how many pages it has."""
-    pages = ParquetPages(f"{sf_dir}/conversations.parquet")
-    schema = table(spark, sf_dir, "conversations").schema
-    return read_paged(spark, lambda page: pages.counted(page, PAGE_SIZE), schema, mode="counted")
+@query(
+    """WITH t AS (SELECT conv_id, CAST(turn // 2 + 1 AS BIGINT) AS page FROM conversations),
+            s AS (SELECT conv_id, max(page) AS total_pages, count(*) AS total_record FROM t GROUP BY conv_id),
+            k AS (SELECT * FROM t JOIN s USING (conv_id)
+                  WHERE NOT (total_record % 3 = 0 AND total_pages > 1 AND page = total_pages))
+       SELECT 'turns:' || conv_id AS listing, total_pages AS declared_pages, count(DISTINCT page) AS found_pages,
+              total_record AS declared, count(*) AS received,
+              count(DISTINCT page) = total_pages AND count(*) = total_record AS ok
+       FROM k GROUP BY conv_id, total_pages, total_record
+       UNION ALL SELECT DISTINCT 'notes:' || conv_id, NULL, 0, NULL, 0, TRUE FROM conversations""",
+    name="listing_complete",
+)
+def landed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed response bodies of listings; a third lost their last page, half are empty."""
+    turns = table(spark, sf_dir, "conversations").withColumn("page", F.floor(F.col("turn") / 2) + 1)
+    told = turns.groupBy("conv_id").agg(F.max("page").alias("total_pages"), F.count("*").alias("total_record"))
+    pages = turns.groupBy("conv_id", "page").agg(F.collect_list(F.struct("turn", "role")).alias("rows"))
+    lost = (F.col("total_record") % 3 == 0) & (F.col("total_pages") > 1) & (F.col("page") == F.col("total_pages"))
+    whole = F.to_json(F.struct("total_pages", "total_record", "rows"))
+    bodies = pages.join(told, "conv_id").where(~lost).select(
+        F.concat(F.lit("turns:"), "conv_id").alias("listing"), "page", whole.alias("body")
+    )
+    empty = told.select(
+        F.concat(F.lit("notes:"), "conv_id").alias("listing"),
+        F.lit(1).cast("long").alias("page"),
+        F.lit('{"message": "No records found"}').alias("body"),
+    )
+    zones = fresh_zones(spark, "listings")
+    land_jsonl(bodies.union(empty), zones, "listings", "bodies")
+    landed = read_jsonl(spark, f"{zones.landing}/listings/bodies.jsonl", "listing STRING, page BIGINT, body STRING")
+    envelope = "message STRING, total_pages BIGINT, total_record BIGINT, rows ARRAY<STRUCT<turn: INT, role: STRING>>"
+    opened = json_to_struct(landed, "body", envelope).select(
+        "listing", "page", "body.message", "body.total_pages", "body.total_record",
+        F.coalesce(F.size("body.rows"), F.lit(0)).alias("received"),
+    )
+    return listing_complete(opened, "listing")
 
 
 def details(key: dict) -> dict | list[dict]:

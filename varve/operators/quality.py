@@ -11,6 +11,8 @@ from varve.functions.columns import column
 from varve.session import written_report
 
 CORRUPT = "_corrupt_record"
+# Fixed value: what the body of an empty listing says.
+NO_RECORDS = "no records found"
 
 
 def reconcile(expected: int, df: DataFrame) -> DataFrame:
@@ -37,6 +39,39 @@ def totals(
     )
 
 
+def listing_complete(
+    pages: DataFrame,
+    listing: str | Sequence[str],
+    page: str = "page",
+    total_pages: str = "total_pages",
+    total_record: str = "total_record",
+    received: str = "received",
+    message: str = "message",
+) -> DataFrame:
+    """Whether each listing's landed pages are all there, one row per listing.
+
+    ``pages`` has a row for each body: its page number, the totals that it declares, the
+    rows it ``received`` and its message. A listing is ok when its pages agree on both
+    totals, every page from 1 to the last one is there, and the rows add up to the total.
+    One of which all bodies say that there are no records, and hold none, is ok too. A
+    null listing is one of its own; one without any body cannot be seen here.
+    """
+    listing = [listing] if isinstance(listing, str) else list(listing)
+    number, last, stated = column(page), column(total_pages), column(total_record)
+    nothing = F.coalesce(F.lower(F.trim(column(message))) == NO_RECORDS, F.lit(False))
+    found = pages.groupBy(*listing).agg(
+        F.max(last).cast("long").alias("declared_pages"),
+        F.count_distinct(F.when(number.between(1, last), number)).alias("found_pages"),
+        F.max(stated).cast("long").alias("declared"),
+        F.coalesce(F.sum(column(received)), F.lit(0)).cast("long").alias("received"),
+        ((F.min(last) == F.max(last)) & (F.min(stated) == F.max(stated))).alias("_agree"),
+        F.bool_and(nothing).alias("_nothing"),
+    )
+    whole = F.col("_agree") & (F.col("found_pages") == F.col("declared_pages")) & (F.col("received") == F.col("declared"))
+    ok = F.when(F.col("_nothing"), F.col("received") == 0).otherwise(F.coalesce(whole, F.lit(False)))
+    return found.withColumn("ok", ok).drop("_agree", "_nothing")
+
+
 def require(report: DataFrame, what: str) -> None:
     """Fail when a report has rows that are not ``ok``; all are written, a few are named."""
     path, rows = written_report(report.where("NOT ok"), "report")

@@ -21,9 +21,8 @@ from varve.functions.columns import column
 from varve.sources.files import as_struct
 from varve.spec import one_of
 
-# Rows per page of an offset-paged source; what an empty result says.
+# Fixed value: rows per page of an offset-paged source.
 PAGE_SIZE = 200
-NO_RECORDS = "no records found"
 
 
 class Stripe(InputPartition):
