@@ -44,6 +44,40 @@ def test_quality_verdict_adds_to_the_base(spark):
     assert got[2].kept
 
 
+def test_quality_verdict_below_the_base(spark):
+    """Repetition that the base rule lets pass, in long texts, and its measure against a plain count."""
+    words = [f"u{n}" for n in range(1000)]
+    passage = [f"passage{n}" for n in range(80)]
+    phrase = [w for n in range(300) for w in (f"v{n}", "buyitnow", "freeshipping")]
+    menu = "\n".join([" ".join(words[:800]), *["homepage contactpage", "aboutus imprint"] * 25])
+    loops = " ".join(w for w in ("spam", "junk", "trash", "waste", "scrap", "litter", "rubbish", "debris") for _ in range(5))
+    quoted = [*words[:200], *passage[:10], *words[200:300], *passage[:10]]
+    texts = {
+        1: " ".join([*passage, *words, *passage]),
+        2: " ".join(phrase),
+        3: menu,
+        4: loops,
+        5: " ".join(quoted),
+        6: " ".join(words),
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in quality_rules(df, ["doc_id"]).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {n for n, r in got.items() if r.kept} == {5, 6}
+    chars = sum(map(len, phrase))
+    assert got[2].phrase_coverage == pytest.approx(300 * len("buyitnowfreeshipping") / chars)
+    assert got[4].phrase_coverage == pytest.approx(5 * len("rubbish") / sum(map(len, loops.split())))
+    assert got[4].worst_coverage == 1
+
+
+def test_labelled_clean_texts_stay(spark):
+    big = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{big}/labels.parquet").where("quality = 1")
+    found = queries.QUERIES["op9_quality_rules"](spark, big).join(labels, "doc_id", "left_semi")
+    assert found.where("NOT base_failed").count() > 3000
+    assert found.where("NOT base_failed AND NOT kept").count() == 0
+
+
 def expected_secrets(pairs):
     return Counter((d, *brute.secrets(t)) for d, t in pairs)
 

@@ -14,14 +14,19 @@ MIN_WORDS = 10
 MAX_REPEAT_WORDS = 20
 SYMBOLS = "#*$%&|<>"
 BASE_WINDOW = 5
-# Share of a text's characters that repeated windows of so many words may cover. A quotation that
-# comes twice in a short text must pass, so the limits lie above those usual for long web pages.
-COVERAGE = {5: 0.25, 6: 0.24, 7: 0.23, 8: 0.22, 9: 0.21, 10: 0.20}
-# Share of a text's characters that may lie in lines equal to an earlier one.
-MAX_LINE_COVERAGE = 0.3
+# Shares of a long text's characters: those that all repeated windows of so many words may cover, those that
+# the one window of so many words that covers most may, and those in lines equal to an earlier one.
+COVERAGE = {4: 0.16, 5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+PHRASE = {2: 0.20, 3: 0.18, 4: 0.16}
+LINES = 0.20
+# A quotation or phrase that comes twice in a short text must pass, so each limit is raised by the share that
+# so many words are of the text, up to a most. Set so that labelled clean texts stay.
+QUOTED, PHRASED = 20, 9
+MOST_QUOTED, MOST_PHRASED = 0.15, 0.45
 
 SCHEMA = """n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,
-    base_failed boolean, kept boolean, worst_coverage double, line_coverage double"""
+    base_failed boolean, kept boolean, worst_coverage double, line_coverage double,
+    phrase_coverage double"""
 
 _words = re.compile(WORD).findall
 
@@ -52,6 +57,23 @@ def covered(starts: np.ndarray, length: int, total: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
+def most_covering(keys: np.ndarray, starts: np.ndarray, length: int, upto: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """For each text, the characters that the windows of one key cover, for the key where these are most.
+
+    ``starts`` ascends, ``upto`` has the characters before each word. Overlaps count once.
+    """
+    most = np.zeros(texts, np.int64)
+    if len(starts):
+        order = np.argsort(keys, kind="stable")
+        ranked, at = keys[order], starts[order]
+        same = ranked[1:] == ranked[:-1]
+        fresh = at.copy()
+        fresh[1:][same] = np.maximum(at[1:], at[:-1] + length)[same]
+        first = np.flatnonzero(np.append(True, ~same))
+        np.maximum.at(most, owner[at[first]], np.add.reduceat(upto[at + length] - upto[fresh], first))
+    return most
+
+
 def line_repeats(text: str) -> tuple[int, int]:
     """Lines with a word that equal an earlier line, and the word characters in them."""
     seen: set[str] = set()
@@ -86,38 +108,51 @@ def measure(texts: list[str]) -> list:
     salt = mixed(np.arange(len(texts), dtype=np.uint64) + np.uint64(1))[owner]
 
     base = np.zeros(len(texts), np.int64)
-    worst = np.zeros(len(texts))
+    worst, phrase = np.zeros(len(texts)), np.zeros(len(texts))
     failed = np.zeros(len(texts), bool)
+    upto = np.append(0, np.cumsum(chars))
+    sizes = np.maximum(n_words, 1)
+    phrased = np.minimum(MOST_PHRASED, PHRASED / sizes)
+    quoted = np.minimum(MOST_QUOTED, QUOTED / sizes)
+    short = np.minimum(MOST_PHRASED, QUOTED / sizes)
     at = np.arange(total)
     rolling = np.zeros(total, np.uint64)
     factor, width = np.uint64(1), 0
-    for length, most in COVERAGE.items():
+    for length in sorted({*PHRASE, *COVERAGE}):
         at = at[at + length <= ends[at]]
         for k in range(width, length):
             rolling[: max(total - k, 0)] += hashes[k:] * factor
             factor = np.uint64(int(factor) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
         width = length
-        at = at[found_twice(mixed(rolling[at]) ^ salt[at])]
-        mask = covered(at, length, total)
-        share = np.bincount(owner[mask], chars[mask], len(texts)) / np.maximum(word_chars, 1)
-        if length == BASE_WINDOW:
-            base = np.bincount(owner[mask], minlength=len(texts)).astype(np.int64)
-        worst = np.maximum(worst, share)
-        failed |= share > most
+        keys = mixed(rolling[at]) ^ salt[at]
+        twice = found_twice(keys)
+        at = at[twice]
+        if length in PHRASE:
+            share = most_covering(keys[twice], at, length, upto, owner, len(texts)) / np.maximum(word_chars, 1)
+            phrase = np.maximum(phrase, share)
+            failed |= share > PHRASE[length] + phrased
+        if length in COVERAGE:
+            mask = covered(at, length, total)
+            share = np.bincount(owner[mask], chars[mask], len(texts)) / np.maximum(word_chars, 1)
+            if length == BASE_WINDOW:
+                base = np.bincount(owner[mask], minlength=len(texts)).astype(np.int64)
+            worst = np.maximum(worst, share)
+            failed |= share > COVERAGE[length] + (short if length < BASE_WINDOW else quoted)
     lines = [line_repeats(t) for t in texts]
     dup_lines = np.array([n for n, _ in lines], np.int64)
     in_lines = np.array([c for _, c in lines]) / np.maximum(word_chars, 1)
-    failed |= in_lines > MAX_LINE_COVERAGE
+    failed |= in_lines > LINES + quoted
     base_failed = (n_words < MIN_WORDS) | (100 * base > MAX_REPEAT_WORDS * n_words)
     symbols = np.array([sum(map(t.count, SYMBOLS)) for t in texts], np.int64)
-    return [n_words, word_chars, symbols, dup_lines, base, base_failed, ~base_failed & ~failed, worst, in_lines]
+    return [n_words, word_chars, symbols, dup_lines, base, base_failed, ~base_failed & ~failed, worst, in_lines, phrase]
 
 
 def quality_rules(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and the measures of each text, in one pass without a shuffle.
 
     ``kept`` is false for texts that fail the base rules, and for those of whose characters too
-    many lie inside repeated windows of five to ten words, or in repeated lines.
+    many lie inside repeated windows of four to ten words, inside one phrase of two to four
+    words that recurs, or in repeated lines.
 
     A null or empty text has no words and fails. Repeated rows are measured alike, each on its
     own; other columns of ``docs`` are ignored, whatever their names. An empty table gives none.
