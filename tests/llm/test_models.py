@@ -241,6 +241,27 @@ def test_nearest_recall(spark):
     assert hits >= 0.95 * sum(map(len, want.values()))
 
 
+def test_nearest_bounds_both_sides_of_a_task(spark, monkeypatch):
+    """No task gets more than about a shard of vectors and a block of queries, and no pair is missed."""
+    monkeypatch.setattr(ann, "SHARD_ROWS", 200)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 50)
+    meetings, dealt = ann._meetings, []
+    monkeypatch.setattr(ann, "_meetings", lambda *a: dealt.append(meetings(*a)) or dealt[-1])
+    rng = np.random.default_rng(4)
+    pairs = [(n, [float(x) for x in v]) for n, v in enumerate(rng.normal(size=(1000, 8)))]
+    df = spark.createDataFrame(pairs, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.nearest(df, F.col("vec_id") % 2 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    want = nearest_of(pairs, lambda i: i % 2 == 0)
+    assert set(got) == set(want) and all(len(v) == 10 for v in got.values())
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.99 * 10 * len(want)
+    sizes = [{(r.shard, r.block): r["count"] for r in side.groupBy("shard", "block").count().collect()} for side in dealt[0]]
+    assert sizes[0].keys() == sizes[1].keys() and len(sizes[0]) == 5 * 10
+    assert max(sizes[0].values()) < 2 * 200 and max(sizes[1].values()) < 2 * 50
+
+
 def test_nearest_of_edges(spark):
     nan = float("nan")
     vectors = [(100, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [None, 1.0]),

@@ -17,8 +17,8 @@ SAMPLE_ROWS = 20_000
 ROTATIONS = 30
 # Bits of a substring, each with a table of its own.
 SUBSTRING = 8
-# Vectors of one shard of the index, and queries that meet it at once.
-SHARD_ROWS, QUERY_ROWS = 8192, 1024
+# Vectors of one shard of the index, queries of one block that meets it, and queries worked out at once.
+SHARD_ROWS, BLOCK_ROWS, QUERY_ROWS = 8192, 8192, 1024
 # Candidates to retrieve for each query and shard before the radius stops growing.
 ENOUGH = 400
 
@@ -125,11 +125,28 @@ def _best(query_ids, queries, ids, vectors, index, codes, nearest):
     return [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
 
 
+def _meetings(base: DataFrame, shards: int, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """Vectors and queries, each dealt to the pairs (shard, block) that it takes part in.
+
+    The vectors of a shard go to each block of queries, and the queries of a block to each shard.
+    """
+
+    def every(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    # A salt spreads rows that share an id, so a shard stays near its size whatever the ids.
+    shard = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
+    held = base.select("id", "v", shard.alias("shard")).select("*", every(blocks).alias("block"))
+    asked = base.where("asked").groupBy("id").agg(F.min("v").alias("v"))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    return held, asked.select("id", "v", every(shards).alias("shard"), block.alias("block"))
+
+
 def nearest(vectors: DataFrame, queries: Column, id_column: str = "vec_id", column: str = "embedding", count: int = NEAREST) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row where ``queries`` holds, its nearest other rows.
 
     Every row is in the index, which is cut into shards of bounded size by a hash of the id; the
-    queries meet each shard in blocks. A shard retrieves all codes within a Hamming radius, which
+    queries are cut into blocks alike, and a task holds one shard and one block. A shard retrieves all codes within a Hamming radius, which
     grows until it holds enough of them, and ranks these by the Euclidean distance of the original
     vectors, in double precision. Ties go to the smaller id. The best of all shards are merged.
 
@@ -143,18 +160,15 @@ def nearest(vectors: DataFrame, queries: Column, id_column: str = "vec_id", colu
         F.col(f"`{column}`").cast("array<double>").alias("v"),
         queries.alias("asked"),
     ).where(F.col("id").isNotNull() & _valid("v"))
-    sizes = base.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    sizes = base.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("count"), F.count_if("asked").alias("asked"))
+    sizes = sizes.orderBy(F.desc("count"), "d").limit(1).collect()
     if not sizes:
         return base.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     dim, rows = sizes[0]["d"], sizes[0]["count"]
     base = base.where(F.size("v") == dim)
     sample = base.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("v").toPandas()["v"]
     codes = learn_codes(np.stack(sample.to_list()).astype(np.float64) if len(sample) else np.zeros((0, dim)), dim)
-    shards = parts_for(rows, SHARD_ROWS)
-    # A salt spreads rows that share an id, so a shard stays near its size whatever the ids.
-    dealt = base.select("id", "v", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard"))
-    asked = base.where("asked").groupBy("id").agg(F.min("v").alias("v"))
-    asked = asked.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    held, asked = _meetings(base, parts_for(rows, SHARD_ROWS), parts_for(sizes[0]["asked"], BLOCK_ROWS))
 
     def run(shard: pa.Table, block: pa.Table) -> pa.Table:
         found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
@@ -169,7 +183,7 @@ def nearest(vectors: DataFrame, queries: Column, id_column: str = "vec_id", colu
             found = [np.concatenate(x) for x in zip(*parts)]
         return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
 
-    each = dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(run, "query_id long, vec_id long, score double")
+    each = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
     return ranked.select("query_id", "rank", "vec_id", "score")
