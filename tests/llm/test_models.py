@@ -123,6 +123,21 @@ def test_lm_beats_the_unigrams_on_held_out_texts(spark):
     assert found[0] > found[1]
 
 
+def test_lm_learns_alike_from_any_files(spark, monkeypatch):
+    """Many small partitions teach as much as one, and a table beyond one round is learned from in several."""
+    if hasattr(lm, "ROUND_TOKENS"):
+        monkeypatch.setattr(lm, "ROUND_TOKENS", 60_000)
+    docs = spark.read.parquet(f"{BIG}/documents.parquet").where("doc_id % 8 = 0").select("doc_id", "text")
+    docs = docs.where("text IS NOT NULL")
+
+    def gain(parts):
+        found = lm.score(docs.repartition(parts, "doc_id"), ["doc_id"], remainder("doc_id", 7) != 2, text_of())
+        return found.where("held_out").agg(F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).first()[0]
+
+    one, many = gain(1), gain(96)
+    assert abs(one - many) < 1e-4 and one > 0
+
+
 def test_lm_is_normalised():
     rng = np.random.default_rng(1)
     model = lm.start_model(np.full(30, 1 / 30))

@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varve.llm.common import chunks
-from varve.session import materialize
+from varve.llm.common import chunks, parts_for
+from varve.session import fresh_dir, materialize
 
 # Words with a vector of their own. All others share the class "rare", whose words differ by count.
 OWN_WORDS = 1023
@@ -18,8 +18,11 @@ OWN_WORDS = 1023
 SENT_WORDS = 1 << 16
 # Size of a word's vector, words of context.
 DIM, CONTEXT = 16, 2
-# Tokens in a step of the training, noise words of a step, step size, rounds of averaging.
-BATCH, NOISE, RATE, ROUNDS = 8192, 96, 0.15, 1
+# Tokens in a step of the training, noise words of a step, step size.
+BATCH, NOISE, RATE = 8192, 96, 0.15
+# Tokens that a task learns from, about, before the tasks' models are averaged and the next round begins. Only
+# so many tasks learn side by side that there are this many rounds: averages of shallow models score worse.
+ROUND_TOKENS, LEAST_ROUNDS = 1 << 20, 4
 # Different words that a task counts before it hands its counts on.
 HELD_WORDS = 400_000
 # Contexts whose probabilities are worked out at once.
@@ -104,13 +107,13 @@ def _scatter(rows: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
 class Trainer:
     """Noise-contrastive estimation by AdaGrad steps over batches of tokens."""
 
-    def __init__(self, model: Model, noise: np.ndarray):
+    def __init__(self, model: Model, noise: np.ndarray, squares: Model, seed: int = SEED):
         self.model = model
         self.noise = noise
         self.draws = np.cumsum(noise)
         self.log_noise = np.log(np.maximum(noise, 1e-12)).astype(np.float32)
-        self.rng = np.random.default_rng(SEED)
-        self.squares = [np.full_like(x, 1e-2) for x in (model.target, model.context, model.places, model.bias)]
+        self.rng = np.random.default_rng(seed)
+        self.squares = squares
 
     def step(self, ids: np.ndarray, context: np.ndarray) -> None:
         """One batch: tell each token from NOISE words that the whole batch shares."""
@@ -132,8 +135,11 @@ class Trainer:
         np.add.at(d_bias, drawn, g_bad.sum(axis=0))
         d_context = sum(_scatter(d_query * m.places[k], context[:, k], len(m.context)) for k in range(CONTEXT))
         d_places = np.stack([(d_query * v).sum(axis=0) for v in vectors])
+        q = self.squares
         for value, grad, square in zip(
-            (m.target, m.context, m.places, m.bias), (d_target, d_context, d_places, d_bias), self.squares
+            (m.target, m.context, m.places, m.bias),
+            (d_target, d_context, d_places, d_bias),
+            (q.target, q.context, q.places, q.bias),
         ):
             grad /= n
             square += grad * grad
@@ -282,9 +288,28 @@ class Reader:
         return found, classes, np.cumsum(sizes) - sizes
 
 
-def train(docs: DataFrame, known: Vocabulary) -> Model:
-    """Fit the model on all texts ``body``: every task walks over its own, then the tasks' models
-    are averaged by the tokens they saw. Each round starts from the last average.
+def _rounds(docs: DataFrame, deal: Column, tokens: int) -> tuple[DataFrame, int]:
+    """The texts ``body`` with the ``round`` that learns from them, and the number of rounds.
+
+    A text's place follows from ``deal``, a hash of its row, and not from the files it came in: in a
+    round each task reads one file of about ROUND_TOKENS tokens, in order of the hash.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(cores, tokens // (LEAST_ROUNDS * ROUND_TOKENS)))
+    rounds = parts_for(tokens, ROUND_TOKENS * parts)
+    dealt = docs.select("body", deal.alias("deal"))
+    piece = F.pmod("deal", F.lit(rounds * parts)).cast("int")
+    dealt = dealt.select("body", "deal", F.floor(piece / parts).cast("int").alias("round"), (piece % parts).alias("part"))
+    dealt = dealt.repartitionById(parts, "part").sortWithinPartitions("round", "deal", "body").select("body", "round")
+    path = fresh_dir(docs.sparkSession, "rounds")
+    dealt.write.partitionBy("round").parquet(path)
+    return docs.sparkSession.read.schema(dealt.schema).parquet(path), rounds
+
+
+def train(docs: DataFrame, deal: Column, known: Vocabulary) -> Model:
+    """Fit the model on all texts ``body``: in a round every task walks over about ROUND_TOKENS tokens, then
+    the tasks' models and sums of squares are averaged by the tokens they saw, and the next round
+    goes on from there. There are as many rounds as it takes to read all texts once.
 
     A task hands on one set of parameters, of a size that the vocabulary's bound fixes; they are
     averaged place by place in Spark, and only the average comes to the driver.
@@ -295,13 +320,18 @@ def train(docs: DataFrame, known: Vocabulary) -> Model:
     if not known.tokens:
         return model
     shared = context.broadcast(known)
-    for _ in range(ROUNDS):
-        start = context.broadcast(model.pack())
-
-        def run(batches, start=start):
-            value = shared.value
+    state = np.frombuffer(model.pack(), np.float32)
+    half = len(state)
+    state = np.append(state, np.full(half, 1e-2, np.float32))
+    dealt, rounds = _rounds(docs, deal, known.tokens)
+    for number in range(rounds):
+        start = context.broadcast(state)
+
+        def run(batches, start=start, number=number):
+            value, begun = shared.value, start.value
             reader = Reader(value)
-            trainer = Trainer(Model.unpack(start.value, classes), value.shares)
+            squares = Model.unpack(begun[half:], classes)
+            trainer = Trainer(Model.unpack(begun[:half], classes), value.shares, squares, SEED + number)
             seen = 0
             left_ids, left_context = [], []
             held = 0
@@ -322,7 +352,7 @@ def train(docs: DataFrame, known: Vocabulary) -> Model:
             if held:
                 trainer.step(np.concatenate(left_ids), np.concatenate(left_context))
             if seen:
-                packed = np.frombuffer(trainer.model.pack(), np.float32)
+                packed = np.frombuffer(trainer.model.pack() + trainer.squares.pack(), np.float32)
                 for at in range(0, len(packed), 1024):
                     part = packed[at : at + 1024]
                     yield pa.RecordBatch.from_arrays(
@@ -330,10 +360,13 @@ def train(docs: DataFrame, known: Vocabulary) -> Model:
                         names=["place", "value", "weight"],
                     )
 
-        parts = docs.select("body").mapInArrow(run, "place long, value double, weight long")
+        parts = dealt.where(F.col("round") == number).select("body").mapInArrow(run, "place long, value double, weight long")
         mean = parts.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value"))
-        model = Model.unpack(mean.orderBy("place").toPandas()["value"].to_numpy(), classes)
-    return model
+        found = mean.orderBy("place").toPandas()["value"].to_numpy(np.float32)
+        # A hash may leave a round of a small table without texts.
+        state = found if len(found) else state
+        start.destroy()
+    return Model.unpack(state[:half], classes)
 
 
 SCHEMA = "row long, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"
@@ -402,10 +435,11 @@ def score(docs: DataFrame, keep: list[str], training: Column, body: Column) -> D
     source = docs.select(
         *[F.col(f"`{k}`").alias(i) for k, i in zip(keep, inner)], (~training).alias(held_out), body.alias("body")
     )
-    learned = source.where(~F.col(held_out)).select("body")
+    learned = source.where(~F.col(held_out))
+    deal = F.xxhash64("body", *[F.col(i).cast("string") for i in inner])
     counts = materialize(count_words(learned), "counts")
     known = vocabulary(counts)
-    model = train(learned, known)
+    model = train(learned, deal, known)
     scored = materialize(_scored(source, [*inner, held_out], known, model), "scored")
     words = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
     words = words.select("row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
