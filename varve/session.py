@@ -59,12 +59,24 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once and read it back, so that its lineage ends at durable files."""
+def staged(df: DataFrame, name: str, *parted: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once, in folders by the columns ``parted``; the table read back, and its folder."""
     spark = df.sparkSession
     path = fresh_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*parted).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete staged folders that no later step reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once and read it back, so that its lineage ends at durable files."""
+    return staged(df, name)[0]
 
 
 def materialize_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
