@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varve.llm.common import remainder
-from varve.session import ship
+from varve.llm.vector_sql import CLUSTERS_SQL, CODES_SQL
+from varve.session import fresh_dir, ship
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -186,3 +187,32 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from varve.llm.rules import quality_rules
 
     return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query(CODES_SQL)
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector by codebooks learned from all of them."""
+    from varve.llm.lloyd import compress
+
+    coded, books = compress(table(spark, sf_dir, "embeddings"))
+    return coded.withColumn("codebooks_sha256", F.sha2(F.lit(books.text()), 256))
+
+
+@query(CLUSTERS_SQL)
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector and what is known of it."""
+    from varve.llm.centroids import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"))[0]
+
+
+@query()
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and digest of every document's ids in the token files."""
+    from varve.llm.token_files import TokenFiles, id_digests, write_tokens
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        spec = file.read()
+    path = fresh_dir(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, spec, end=2)
+    return id_digests(TokenFiles(spark, path).tokens())
