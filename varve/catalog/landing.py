@@ -68,12 +68,13 @@ def scan_jsonl_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def scan_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: CSV whose quoted text has line breaks and doubled quotes."""
+    """S3: CSV whose quoted text has line breaks and doubled quotes, a file read by many tasks."""
     documents = table(spark, sf_dir, "documents")
     zones = fresh_zones(spark, "scan")
     land_batches(documents.withColumn("name", F.lit("documents")), zones, "documents", "name", "csv")
     path = f"{zones.landing}/documents/batch=documents.csv"
-    return read_csv(spark, path, documents.schema, quote_escape='"', multiline=True).drop(SOURCE, CORRUPT)
+    read = read_csv(spark, path, documents.schema, quote_escape='"', multiline=True, block_bytes=1 << 20)
+    return read.drop(SOURCE, CORRUPT)
 
 
 @query(

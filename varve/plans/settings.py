@@ -22,8 +22,8 @@ ASSET_TABLES = [
     )
 ]
 BULK_TABLES = [
-    TableSpec("activities", "marketoguid", quote_escape='"'),
-    TableSpec("leads", "id", quote_escape='"', where="try_cast(id AS integer) IS NOT NULL"),
+    TableSpec("activities", "marketoguid", quote_escape='"', multiline=True),
+    TableSpec("leads", "id", quote_escape='"', multiline=True, where="try_cast(id AS integer) IS NOT NULL"),
 ]
 CAMPAIGN_TABLES = [
     TableSpec("campaigns", "campaign_id"),

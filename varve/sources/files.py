@@ -17,6 +17,7 @@ from varve.operators.metadata import BATCH_NAME, BATCH_PATTERN, SOURCE
 from varve.functions.times import utc
 from varve.operators.quality import CORRUPT
 from varve.sources.folders import Folder
+from varve.sources.quoted import BLOCK_BYTES, Dialect, parse_records, read_records
 from varve.spec import Zones, plain_name
 
 # Landing text keeps microseconds; Spark's default would cut to milliseconds.
@@ -83,19 +84,20 @@ def read_csv(
     schema: T.StructType | str | None = None,
     quote_escape: str = "\\",
     multiline: bool = False,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """CSV with a header, all columns text unless a schema types them.
 
     A path is a file or a folder of files with one header. Paths are scanned together per
     distinct header and united by column name. ``multiline`` keeps line breaks inside
-    quotes; such a file cannot be split, so land large exports as many files. The default
+    quotes; a task then reads ``block_bytes`` of a file, however large it is. The default
     splits at every line break. A line with too few or too many fields, or with text that
     does not read as its column's type, keeps its text in ``_corrupt_record``. Spark finds
     such lines only where that column is read, so stage the rows with it.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     kinds = {f.name: f.dataType for f in as_struct(schema)} if schema is not None else {}
-    reader = spark.read.options(header=True, escape=quote_escape, multiLine=multiline, **MICROS)
+    reader = spark.read.options(header=True, escape=quote_escape, **MICROS)
     scans = []
     for names, group in csv_headers(spark, paths).items():
         if not names:
@@ -103,7 +105,14 @@ def read_csv(
         fields = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
         # A part file of a folder whose header differs from the first one's must not be
         # read by position.
-        checked = reader.option("enforceSchema", any(n.startswith("_c") for n in names))
+        unnamed = any(n.startswith("_c") for n in names)
+        if multiline:
+            records = read_records(spark, group, Dialect(escape=quote_escape), block_bytes)
+            options = {"escape": quote_escape, "multiLine": "true", **MICROS}
+            source = F.col("path").alias(SOURCE)
+            scans.append(parse_records(records, with_corrupt(fields), options, not unnamed, [source]))
+            continue
+        checked = reader.option("enforceSchema", unnamed)
         scans.append(_with_source(checked.schema(with_corrupt(fields)).csv(group)))
     if not scans:
         return spark.createDataFrame([], T.StructType([T.StructField(SOURCE, T.StringType())]))
