@@ -52,6 +52,28 @@ def test_strict_keeps_microseconds(spark):
     assert len(set(hashes(df, "strict"))) == 2
 
 
+MOMENTS = """SELECT timestamp_micros(1700000000000001 + n) AS t, named_struct('x', timestamp_micros(1700000000000001 + n)) AS s,
+                    array(timestamp_micros(1700000000000001 + n), NULL) AS a, map('k', timestamp_micros(n)) AS m FROM VALUES (0), (1) AS v(n)"""
+
+
+@pytest.mark.parametrize("mode", ["compat", "strict"])
+@pytest.mark.parametrize("column", ["t", "s", "a", "m"])
+def test_times_count_in_utc_to_the_microsecond(spark, mode, column):
+    found = {}
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            found[zone] = hashes(spark.sql(MOMENTS).select(column), mode)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found["UTC"] == found["America/New_York"] and len(set(found["UTC"])) == 2
+
+
+def test_text_of_times_is_that_of_a_session_in_utc(spark):
+    df = spark.sql("SELECT timestamp'2024-01-02 03:04:05.120' AS t UNION ALL SELECT timestamp'1969-12-31 23:59:59.999999' UNION ALL SELECT timestamp'0044-03-15 00:00:00'")
+    assert hashes(df) == [digest(r[0]) for r in df.selectExpr("CAST(t AS string)").collect()]
+
+
 def test_map_order_does_not_matter_to_records(spark):
     df = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('b', 2, 'a', 1)")
     assert df.select(record_hash(df)).distinct().count() == 1

@@ -58,7 +58,7 @@ def test_blocks_equal_a_whole_file(spark, tmp_path, seed):
 
 
 def test_one_file_is_read_by_many_tasks(spark, tmp_path):
-    rows = [(n, f'text {n} with "quotes",\nbreaks\n\nand more ' + "x" * (n % 300)) for n in range(2000)]
+    rows = [(n, f'text {n} with "quotes",\nbreaks\n\nand more ' + "x" * (n % 300) + "end") for n in range(2000)]
     spark.createDataFrame(rows, "id int, text string").coalesce(1).write.options(header=True, escape='"').csv(f"{tmp_path}/one")
     df = read_csv(spark, f"{tmp_path}/one", "id int, text string", '"', multiline=True, block_bytes=16 << 10)
     assert sorted(tuple(r) for r in df.select("id", "text").collect()) == rows

@@ -36,16 +36,19 @@ def row_hash_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT event_id, sha256(concat_ws('|', '{"kind":"' || event_type || '","user":' || user_id || '}',
-              event_id, '[{"k":' || json_extract(props, '$.k') || '}]')) AS row_hash
-       FROM events"""
+    """SELECT event_id, sha256(concat_ws('|', '{"kind":"' || event_type || '","user":' || user_id || ',"at":"'
+              || strftime(moment, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}', moment, event_id,
+              '[{"k":' || json_extract(props, '$.k') || '}]')) AS row_hash
+       FROM (SELECT *, make_timestamp(1700000000000000 + event_id) AS moment FROM events)"""
 )
 def row_hash_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2: structs, and arrays of them, enter the hash as JSON."""
+    """M2: structs, and arrays of them, enter the hash as JSON; moments a microsecond apart differ."""
     events = json_to_struct(table(spark, sf_dir, "events"), "props", "k BIGINT")
+    moment = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("event_id"))
     nested = events.select(
         "event_id",
-        F.struct(F.col("event_type").alias("kind"), F.col("user_id").alias("user")).alias("a"),
+        F.struct(F.col("event_type").alias("kind"), F.col("user_id").alias("user"), moment.alias("at")).alias("a"),
+        moment.alias("b"),
         F.array("props").alias("list"),
     )
     return nested.select("event_id", row_hash(nested).alias("row_hash"))

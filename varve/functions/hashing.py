@@ -25,15 +25,24 @@ def business_fields(schema: T.StructType) -> list[T.StructField]:
 NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 
 
+def _plain_text(value: Column, kind: T.DataType) -> Column:
+    """A value as text that does not follow the session's zone: times are told in UTC."""
+    if isinstance(kind, T.TimestampType):
+        seconds = (F.unix_micros(value).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+        none = F.lit(0)
+        value = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(none, none, none, seconds)
+    return value.cast("string")
+
+
 def _as_text(field: T.StructField) -> Column:
     value, kind = column(field.name), field.dataType
     if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, NESTED):
-        return value.cast("array<string>")
+        return F.transform(value, lambda item: _plain_text(item, kind.elementType))
     if isinstance(kind, T.MapType):
-        return F.to_json(canonical(value, kind))
+        return F.to_json(canonical(value, kind), JSON_TIMES)
     if isinstance(kind, NESTED):
-        return F.to_json(value)
-    return value.cast("string")
+        return F.to_json(value, JSON_TIMES)
+    return _plain_text(value, kind)
 
 
 def canonical(value: Column, kind: T.DataType) -> Column:
@@ -56,6 +65,8 @@ def row_hash(df: DataFrame, mode: str = "compat") -> Column:
 
     ``compat`` joins the values with ``|`` and skips nulls, so a null may hide which
     column a value came from. ``strict`` hashes the names too and has no such clash.
+    Either way times count in UTC and to the microsecond, also inside structs, arrays and
+    maps, so the hash is the same in every session.
     """
     one_of(mode, ("compat", "strict"), "hash mode")
     fields = business_fields(df.schema)
