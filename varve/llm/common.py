@@ -40,20 +40,24 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))) % modulus
 
 
-def chunks(batches, column: str, limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def pieces(batches, column: str, limit: int = CHUNK_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of a piece stay near ``limit`` bytes together."""
     for batch in batches:
-        at = batch.schema.get_field_index(column)
-        texts = batch.column(at)
-        sizes = pc.binary_length(texts).to_pylist()
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column))).to_pylist()
         start, held = 0, 0
         for n, size in enumerate(sizes):
             if n > start and held + size > limit:
-                yield batch.slice(start, n - start), texts.slice(start, n - start).to_pylist()
+                yield batch.slice(start, n - start)
                 start, held = n, 0
             held += size
         if start < len(sizes):
-            yield batch.slice(start), texts.slice(start).to_pylist()
+            yield batch.slice(start)
+
+
+def chunks(batches, column: str, limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """:func:`pieces` with their texts."""
+    for piece in pieces(batches, column, limit):
+        yield piece, piece.column(piece.schema.get_field_index(column)).to_pylist()
 
 
 def map_texts(df: DataFrame, keep: list[str], text: Column, body: Callable, schema: str) -> DataFrame:

@@ -3,27 +3,30 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from varve.llm.common import chunks, parts_for, text_of
+from varve.llm.common import parts_for, pieces, text_of
 from varve.session import broadcast_if_small
 
 # Bytes of text whose tokens one file holds, and the rows one file may have.
 FILE_BYTES, FILE_ROWS = 64 << 20, 1_000_000
-# Words whose ids a worker remembers in each of two generations, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 64
+# Parts of words whose ids a worker remembers in each of two generations, and the longest.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 64
 
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+# Letters and digits up to the word's end or to a mark after which the library never joins them.
+_WORD = "(?s)^(?P<stem>[A-Za-z0-9À-ÖØ-öø-ÿ]+)(?P<rest>(?:[.,;:!?#&$*()\"].*)?)$"
+# Words that go through the library in one call, and bytes of text worked on at once.
+TOGETHER, CHUNK_BYTES = 10_000, 4 << 20
 
 
 @dataclass(frozen=True)
@@ -64,44 +67,110 @@ def _tokenizer(spec: str) -> Tokenizer:
     return made
 
 
+def _spliced(pool: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen runs of a pool one after another, and their sizes; ``sizes`` are those of all runs in it."""
+    starts, counts = np.cumsum(sizes) - sizes, sizes[chosen]
+    shift = np.repeat(starts[chosen] - (np.cumsum(counts) - counts), counts)
+    shift += np.arange(len(shift))
+    return pool[shift], counts
+
+
 class WordEncoder:
-    """Ids of texts, for tokenizers that drop white space before they merge.
+    """Ids of texts, for tokenizers that fold case and drop white space before they merge.
 
-    Such a tokenizer gives a text the ids of its words, one after another, so each word that is not
-    remembered goes through the library once. Words are cut at the six ASCII spaces alone; any other
-    white space is inside a word and left to the library.
+    Such a tokenizer gives a text the ids of its words, one after another, and a word of letters and a
+    mark the ids of both; so only stems and rests that are not remembered go through the library.
     """
 
     def __init__(self, spec: str, end: int | None):
         self.library = _tokenizer(spec)
-        self.end = b"" if end is None else np.array([end], "<u4").tobytes()
+        self.end = end
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        vocabulary = self.library.get_vocab()
+        self.ending = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ending[[n for t, n in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers, the end id last."""
-        words = [_WORDS.findall(t) for t in texts]
+    def _encoded(self, words: list[str]) -> None:
+        """Put words through the library, many in a call, and remember their ids.
+
+        The library numbers the words of a call, but for added tokens; words that hold one go alone. Where
+        ids tell the end of a word, and there are as many ends as words, numbers are not asked for.
+        """
+        joined = "\n".join(words)
+        added = [a for a in self.added if a in joined]
+        alone = [w for w in words if any(a in w for a in added)] if added else []
+        for word, made in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False)):
+            self.new[word] = np.array(made.ids, "<u4").tobytes()
+        words = [w for w in words if w not in self.new] if alone else words
+        for kind in (True, False):
+            same = [w for w in words if w.isalpha() == kind]
+            for at in range(0, len(same), TOGETHER):
+                some = same[at : at + TOGETHER]
+                ids, ends = self._ended(some) if kind else (None, None)
+                if ids is None:
+                    made = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+                    ids, ends = made.ids, np.cumsum(np.bincount(np.array(made.word_ids, np.int64), minlength=len(some)))
+                data, ends = np.array(ids, "<u4").tobytes(), (ends * 4).tolist()
+                self.new.update(zip(some, [data[i:j] for i, j in zip([0, *ends], ends)]))
+
+    def _ended(self, words: list[str]) -> tuple[list[int] | None, np.ndarray | None]:
+        """Ids of words and where each word ends among them, if their ids say so."""
+        if not self.ending.any():
+            return None, None
+        ids = self.library.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids
+        ends = np.flatnonzero(self.ending[np.array(ids, np.int64)]) + 1
+        return (ids, ends) if len(ends) == len(words) and ends[-1] == len(ids) else (None, None)
+
+    def _remembered(self, parts: list[str]) -> None:
+        """See that the distinct ``parts`` are in the memory."""
         unknown = []
-        for word in set().union(*words) - self.new.keys():
-            if word in self.old:
-                self.new[word] = self.old[word]
+        for part in [p for p in parts if p not in self.new]:
+            if part in self.old:
+                self.new[part] = self.old[part]
             else:
-                unknown.append(word)
-        found = self.library.encode_batch_fast(unknown, add_special_tokens=False)
-        long = {}
-        for word, made in zip(unknown, found):
-            (self.new if len(word) <= REMEMBERED_CHARS else long)[word] = np.array(made.ids, "<u4").tobytes()
-        known = self.new.__getitem__ if not long else lambda w: long[w] if w in long else self.new[w]
-        ids = [b"".join(map(known, w)) + self.end for w in words]
+                unknown.append(part)
+        self._encoded(unknown)
+        self.new[""] = b""
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id last, and where each text ends among them.
+
+        Words are cut at the six ASCII spaces; any other white space is left to the library.
+        """
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        # A word is a stem and a rest, either of which may be empty.
+        cut = pc.extract_regex(words.dictionary, _WORD)
+        stems = pc.utf8_lower(pc.fill_null(cut.field("stem"), "")).dictionary_encode()
+        rests = pc.if_else(cut.is_valid(), cut.field("rest"), words.dictionary).dictionary_encode()
+        dictionary = pa.concat_arrays([stems.dictionary, rests.dictionary])
+        parts = dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._remembered(parts)
+        ids = list(map(self.new.__getitem__, parts))
+        for n in np.flatnonzero(pc.utf8_length(dictionary).to_numpy() > REMEMBERED_CHARS).tolist():
+            self.new.pop(parts[n], None)
         if len(self.new) > REMEMBERED:
             self.new, self.old = {}, self.new
-        return ids
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        halves = np.stack([stems.indices.to_numpy(), rests.indices.to_numpy() + len(stems.dictionary)], axis=1).astype(np.int64).reshape(-1)
+        pool, sizes = _spliced(pool, sizes, halves)
+        flat, sizes = _spliced(pool, sizes.reshape(-1, 2).sum(axis=1), words.indices.to_numpy())
+        before = np.append(0, np.cumsum(sizes))
+        ends = before[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
+        if self.end is not None:
+            flat = np.insert(flat, ends, self.end)
+            ends = ends + np.arange(1, len(ends) + 1)
+        return flat, ends
 
 
-def _id_lists(ids: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0, *[len(i) // 4 for i in ids]])
-    values = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+@lru_cache(maxsize=1)
+def _encoder(spec: str, end: int | None) -> WordEncoder:
+    """The encoder of a worker, which remembers words from task to task."""
+    return WordEncoder(spec, end)
 
 
 def _ordered(docs: DataFrame, id_column: str, text: Column) -> DataFrame:
@@ -122,7 +191,7 @@ def write_tokens(
 ) -> None:
     """Encode every text and write the ids, in ascending order of the documents, as files below ``path``.
 
-    ``spec`` is the text of a tokenizer file whose tokenizer drops white space. ``path/data`` holds a
+    ``spec`` is the text of a tokenizer file whose tokenizer folds case and drops white space. ``path/data`` holds a
     row a document: ``part`` (its file's number, in order), ``at`` (ids before it in that file),
     ``doc_id``, ``n_tokens`` and ``ids``. ``path/parts`` has a row a file: its ids and rows, and
     the ids ``before`` it. Texts are shuffled once, to their range; ids are never shuffled.
@@ -135,13 +204,13 @@ def write_tokens(
     ordered = _ordered(docs, id_column, text_of() if text is None else text)
 
     def run(batches):
-        part, at, encoder = TaskContext.get().partitionId(), 0, WordEncoder(spec, end)
-        for piece, texts in chunks(batches, "text"):
-            ids = encoder.encode(texts)
-            counts = np.array([len(i) // 4 for i in ids], np.int64)
-            places = at + np.cumsum(counts) - counts
-            at += int(counts.sum())
-            made = [pa.array(np.full(len(ids), part), pa.int32()), pa.array(places), piece.column(0), pa.array(counts), _id_lists(ids)]
+        part, at, encoder = TaskContext.get().partitionId(), 0, _encoder(spec, end)
+        for piece in pieces(batches, "text", CHUNK_BYTES):
+            ids, ends = encoder.encode(piece.column(1))
+            counts, places = np.diff(ends, prepend=0), at + np.append(0, ends[:-1])
+            at += len(ids)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids.astype(np.int32)))
+            made = [pa.array(np.full(len(ends), part), pa.int32()), pa.array(places), piece.column(0), pa.array(counts), lists]
             yield pa.RecordBatch.from_arrays(made, names=["part", "at", "doc_id", "n_tokens", "ids"])
 
     kind = ordered.schema["id"].dataType.simpleString()
