@@ -159,14 +159,38 @@ def test_quality_on_held_out_rows(spark, no_docs):
 
 
 def test_quality_of_edges(spark, docs):
-    labelled = docs.withColumn("quality", (F.length(text_of()) % 2).cast("int"))
-    model = crf.learn(labelled, "text", "quality", F.xxhash64("text"))
+    labels = docs.select("doc_id", (F.length(text_of()) % 2).cast("int").alias("quality"))
+    model = crf.learn(docs, labels)
     found = crf.score(docs, ["doc_id"], model).collect()
     assert len(found) == len(ROWS) and all(0 <= r.score <= 1 for r in found)
-    nothing = crf.learn(labelled.limit(0), "text", "quality", F.xxhash64("text"))
+    nothing = crf.learn(docs, labels.limit(0))
     assert {r.score for r in crf.score(docs, ["doc_id"], nothing).collect()} == {0.5} or nothing.rate == 0.5
 
 
+def test_training_sample_is_bounded_and_carries_no_other_texts(spark, monkeypatch):
+    """Ids by hash, one text and the least label an id, lines in all and of a text within the bounds."""
+    monkeypatch.setattr(crf, "SAMPLE_ROWS", 50)
+    monkeypatch.setattr(crf, "SAMPLE_LINES", 300)
+    texts = [(n, "line\n" * (n % 7) + f"end {n}") for n in range(400)] + [(5, "other of 5"), (6, None), (None, "x"), (900, "\n" * 31)]
+    labels = [(n, n % 2) for n in range(400)] + [(5, 1), (5, 0), (7, None), (None, 1), (900, 1), (901, 1)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    frame = spark.createDataFrame(labels, "doc_id long, quality int")
+    drawn = crf._drawn(frame, "doc_id", "quality").collect()
+    ids = spark.createDataFrame([(n,) for n in sorted({d for d, q in labels if d is not None and q is not None})], "id long")
+    first = [r["id"] for r in ids.orderBy(F.xxhash64("id"), "id").limit(50).collect()]
+    assert [r["id"] for r in drawn] == first and {r["id"]: r["label"] for r in drawn}.get(5, 0) == 0
+    found = [(r["label"], r["body"]) for r in crf.training_texts(docs, frame).collect()]
+    own, expected, lines = dict((d, t) for d, t in texts[:400]), [], 0
+    for n in first:
+        size = own[n].count("\n") + 1 if n in own else 31
+        if n in own and size <= 30:
+            lines += size
+            if lines <= 300:
+                expected.append(n)
+    assert len(found) == len(expected) and sum(t.count("\n") + 1 for _, t in found) <= 300
+    assert [label for label, _ in found] == [n % 2 for n in expected]
+
+
 def test_chain_equals_all_paths():
     rng = np.random.default_rng(2)
     model = crf.Crf(np.zeros(1), rng.normal(size=(2, 2)), rng.normal(size=2))

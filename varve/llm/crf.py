@@ -6,13 +6,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varve.llm.common import chunks, map_texts, text_of
+from varve.session import materialize
 
-# Labelled rows the model learns from, at most; those of least hash are taken.
-SAMPLE_ROWS = 4000
+# Labelled documents the model learns from, and lines of these, at most; those of least hash are taken.
+SAMPLE_ROWS, SAMPLE_LINES = 4000, 200_000
 # Steps of the fit, its step size, and the weight of the penalty on large parameters.
 STEPS, RATE, PENALTY = 250, 0.05, 1e-3
 # A text counts as good from this score on.
@@ -197,13 +198,52 @@ def fit(x: np.ndarray, length: np.ndarray, sizes: np.ndarray, good: np.ndarray)
     return model
 
 
-def learn(labelled: DataFrame, text: str, label: str, order: Column) -> Crf:
-    """Fit on at most ``SAMPLE_ROWS`` labelled rows, those of least ``order``.
+def _drawn(labels: DataFrame, id_column: str, label: str) -> DataFrame:
+    """(id, label, order) of at most ``SAMPLE_ROWS`` labelled ids, those of least hash.
 
-    The workers turn whole texts into features, of which the driver gets the bounded sample's.
+    Rows of one id count once, with the least label. Of a large table only the rows whose hash is
+    below about twice the bound sought are ordered; if these should be too few, all are.
     """
-    rows = labelled.where(F.col(f"`{label}`").isNotNull()).orderBy(order).limit(SAMPLE_ROWS)
-    source = rows.select(text_of(text).alias("body"), F.col(f"`{label}`").cast("int").alias("label"))
+    named = labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
+    once = named.where("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.min("label").alias("label"))
+    once = once.select("*", F.xxhash64("id").alias("order"))
+    count = labels.count()
+    share = min(1.0, 2 * SAMPLE_ROWS / max(count, 1))
+    below = once.where(F.col("order") < F.lit(int((2 * share - 1) * (1 << 62)) * 2)) if share < 1 else once
+    drawn = below.orderBy("order", "id").limit(SAMPLE_ROWS)
+    if share < 1 and drawn.count() < SAMPLE_ROWS:
+        return once.orderBy("order", "id").limit(SAMPLE_ROWS)
+    return drawn
+
+
+def training_texts(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label: str = "quality", text: str = "text") -> DataFrame:
+    """(label, body) of the rows that the model learns from.
+
+    At most ``SAMPLE_ROWS`` ids are drawn by their hash from the labels alone; their texts are found by
+    a broadcast of these few ids, so texts are not shuffled. Rows of one id count once, with the text of
+    least hash. Taken in the order of their hash, texts together have at most ``SAMPLE_LINES`` lines;
+    one with more than a tenth of that is not learned from.
+    """
+    drawn = F.broadcast(materialize(_drawn(labels, id_column, label), "drawn"))
+    texts = docs.select(F.col(f"`{id_column}`").alias("id"), text_of(text).alias("body"))
+    least = F.min(F.struct(F.xxhash64("body").alias("hash"), "body")).alias("least")
+    found = texts.join(drawn, "id").groupBy("id", "label", "order").agg(least)
+    lines = F.length("body") - F.length(F.replace("body", F.lit("\n"))) + 1
+    found = found.select("id", "label", "order", F.col("least.body").alias("body")).withColumn("lines", lines)
+    found = materialize(found.where(F.col("lines") <= SAMPLE_LINES // 10), "training")
+    # No more rows than were drawn.
+    so_far = F.sum("lines").over(Window.orderBy("order", "id").rowsBetween(Window.unboundedPreceding, 0))
+    fits = found.select("id", so_far.alias("so_far"), "order", "lines").where(F.col("so_far") <= SAMPLE_LINES).select("id")
+    return found.join(F.broadcast(fits), "id").orderBy("order", "id").select("label", "body")
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label: str = "quality", text: str = "text") -> Crf:
+    """Fit on a bounded sample, by :func:`training_texts`.
+
+    The workers turn whole texts into features, of which the driver gets the sample's: at most
+    ``SAMPLE_LINES`` rows of ``FEATURES`` numbers. Null ids and labels teach nothing.
+    """
+    source = training_texts(docs, labels, id_column, label, text)
 
     def run(batches):
         for piece, texts in chunks(batches, "body"):
@@ -213,7 +253,7 @@ def learn(labelled: DataFrame, text: str, label: str, order: Column) -> Crf:
                 [
                     pa.array([x[a : a + n].astype(np.float32).tobytes() for a, n in zip(starts, sizes)], pa.binary()),
                     pa.array([length[a : a + n].tobytes() for a, n in zip(starts, sizes)], pa.binary()),
-                    piece.column(1),
+                    piece.column(0),
                 ],
                 names=["x", "length", "label"],
             )
