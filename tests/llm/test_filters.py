@@ -187,6 +187,52 @@ def test_jaccard_join_in_blocks(spark, monkeypatch):
     assert least_matches(140) < 112
 
 
+def test_a_block_of_near_copies_stays_small(spark):
+    """Half a million surviving pairs of 1,000 texts, and as many links, in memory near that of the texts."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    import varve.llm.jaccard as module
+
+    words = [f"w{n}" for n in range(300)]
+    sets = [module.shingles(" ".join([*words, f"only{n}"])) for n in range(1000)]
+    sigs = [module.signature(s) for s in sets]
+    nodes = [module.fingerprint(s) for s in sets]
+    made = module._banded(spark.createDataFrame([(n, len(s), g.tobytes()) for n, s, g in zip(nodes, sets, sigs)], "node long, items int, sig binary"))
+    crowd = made.where("band = 0").groupBy("bucket").count().orderBy("count", ascending=False).first()
+    inside = {r["node"] for r in made.where(made["bucket"] == crowd["bucket"]).collect()}
+    held = [n for n in range(1000) if nodes[n] in inside]
+    same = len(held)
+    columns = {
+        "bucket": pa.array([crowd["bucket"]] * same), "lo": pa.array([0] * same, pa.int32()), "hi": pa.array([0] * same, pa.int32()),
+        "band": pa.array([0] * same, pa.int32()), "side": pa.array([2] * same, pa.int32()), "node": pa.array([nodes[n] for n in held]),
+        "sig": pa.array([sigs[n].tobytes() for n in held]), "items": pa.array([sets[n].tobytes() for n in held]),
+    }
+    table = pa.table(columns)
+    assert same > 900
+    tracemalloc.start()
+    (hopeful,) = module._hopeful(table.drop_columns(["items"]))
+    (facts,) = module._linked(table)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert hopeful.num_rows == same
+    degrees = [n for n in facts.column(2).to_pylist() if n is not None]
+    assert degrees == [same - 1] * same and facts.num_rows == 2 * same - 1
+    assert peak < 24 << 20
+
+
+def test_buckets_with_the_same_members_meet_once(spark):
+    import varve.llm.jaccard as module
+
+    words = " ".join(f"w{n}" for n in range(400))
+    df = spark.createDataFrame([(n, f"{words} tail{n}") for n in range(2)], "doc_id long, text string")
+    signed = module._signed(df.selectExpr("doc_id AS key", "text AS body"))
+    shared = module._banded(signed).groupBy("bucket").count().where("count > 1").count()
+    assert shared > 1 and module._crowds(module._banded(signed)).count() == 1
+    assert module.meetings(signed).count() == 2
+
+
 def test_one_of_each_group_stays(spark, docs):
     kept = keep_one(docs)
     assert kept.columns == docs.columns

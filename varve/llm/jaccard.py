@@ -24,8 +24,10 @@ HASHES = BANDS * ROWS
 TOLERANCE = 1e-4
 # Values compared in each step of the pruning.
 STEP = 20
-# Texts of one bucket that meet in one task.
-BLOCK = 1000
+# Texts of one bucket, and shingles of these, that meet in one task.
+BLOCK, BLOCK_ITEMS = 1000, 2_000_000
+# Shingles of a text's partners that are compared with it at once, unless one partner alone has more.
+TOGETHER = 1 << 18
 
 _words = re.compile(WORD).findall
 _random = np.random.default_rng(20_240_201)
@@ -101,93 +103,87 @@ def least_matches(compared: int) -> int:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(__key, node, sig) of each different text that has words; __key is a 64-bit hash of the text."""
+    """(key, node, items, sig) of each text that has words; ``key`` is a 64-bit hash of the text, ``items`` the size of its set."""
 
     def run(batches):
         for piece, texts in chunks(batches, "body"):
-            keys, nodes, sigs = [], [], []
+            keys, nodes, counts, sigs = [], [], [], []
             for key, text in zip(piece.column(0).to_pylist(), texts):
                 items = shingles(text)
                 if len(items):
                     keys.append(key)
                     nodes.append(fingerprint(items))
+                    counts.append(len(items))
                     sigs.append(signature(items).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary())],
-                names=["key", "node", "sig"],
+                [pa.array(keys, pa.int64()), pa.array(nodes, pa.int64()), pa.array(counts, pa.int32()), pa.array(sigs, pa.binary())],
+                names=["key", "node", "items", "sig"],
             )
 
-    return docs.mapInArrow(run, "key long, node long, sig binary")
+    return docs.mapInArrow(run, "key long, node long, items int, sig binary")
 
 
 def _banded(signed: DataFrame) -> DataFrame:
-    """(bucket, node): the bucket of each band of a signature."""
+    """(bucket, band, node, items): the bucket of each band of a signature; ``items`` is the size of the set."""
 
     def run(batches):
+        bands = np.arange(BANDS, dtype=np.int32)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
+            sigs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
             buckets = np.zeros(sigs.shape[:2], np.uint64)
             for k in range(ROWS):
                 buckets = _mixed(buckets + sigs[:, :, k] + np.uint64(1))
-            buckets = _mixed(buckets + np.arange(BANDS, dtype=np.uint64)[None, :])
+            buckets = _mixed(buckets + bands.astype(np.uint64)[None, :])
             nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(buckets.reshape(-1).view(np.int64)), pa.array(nodes)], names=["bucket", "node"]
-            )
+            items = np.repeat(batch.column(1).to_numpy(), BANDS)
+            made = [pa.array(buckets.reshape(-1).view(np.int64)), pa.array(np.tile(bands, len(sigs))), pa.array(nodes), pa.array(items)]
+            yield pa.RecordBatch.from_arrays(made, names=["bucket", "band", "node", "items"])
 
-    return signed.select("node", "sig").mapInArrow(run, "bucket long, node long")
+    return signed.select("node", "items", "sig").mapInArrow(run, "bucket long, band int, node long, items int")
 
 
-def prune(left: np.ndarray, right: np.ndarray, same_side: bool) -> np.ndarray:
-    """Pairs (row of left, row of right) of signatures that survive all steps of the pruning.
+def prune(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Rows of ``others``, signatures, that stay candidates for ``one`` through all steps of the pruning."""
+    alive = np.arange(len(others))
+    matches = np.zeros(len(alive), np.int64)
+    for at in range(0, HASHES, STEP):
+        if not len(alive):
+            break
+        stop = min(at + STEP, HASHES)
+        matches += (others[alive, at:stop] == one[at:stop]).sum(axis=1)
+        fit = matches >= least_matches(stop)
+        alive, matches = alive[fit], matches[fit]
+    return alive
 
-    Rows are taken in turn against all of the other side, so memory stays near one block. A pair
-    that shares an earlier band is dropped here only if ``same_side`` tells it was seen.
-    """
-    out = []
-    for n in range(len(left)):
-        alive = np.arange(n + 1 if same_side else 0, len(right))
-        matches = np.zeros(len(alive), np.int64)
-        for at in range(0, HASHES, STEP):
-            if not len(alive):
-                break
-            stop = min(at + STEP, HASHES)
-            matches += (right[alive, at:stop] == left[n, at:stop]).sum(axis=1)
-            fit = matches >= least_matches(stop)
-            alive, matches = alive[fit], matches[fit]
-        if len(alive):
-            out.append(np.stack([np.full(len(alive), n), alive], axis=1))
-    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
+def _first_shared(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The first band that a signature shares with each of the others; ``BANDS`` if none."""
+    same = (others.reshape(-1, BANDS, ROWS) == one.reshape(BANDS, ROWS)).all(axis=2)
+    return np.where(same.any(axis=1), same.argmax(axis=1), BANDS)
 
-def _bands_before(a: np.ndarray, b: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    """Whether the first band that two signatures share is the one of this bucket."""
-    same = (a.reshape(-1, BANDS, ROWS) == b.reshape(-1, BANDS, ROWS)).all(axis=2)
-    first = same.argmax(axis=1)
-    at = np.arange(len(a))
-    values = a.reshape(-1, BANDS, ROWS)[at, first]
-    keys = np.zeros(len(a), np.uint64)
-    for k in range(ROWS):
-        keys = _mixed(keys + values[:, k] + np.uint64(1))
-    return _mixed(keys + first.astype(np.uint64)) == bucket
 
+def _survivors(table: pa.Table):
+    """(row, rows): each row of a group with those it makes surviving pairs with, in the first band they share.
 
-def _survivors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the pairs of a group that survive; each pair only in the first band it shares."""
+    One row meets the others at a time, so memory stays near one block, however many pairs survive.
+    """
     side = table.column("side").to_numpy()
-    bucket = np.uint64(table.column("bucket")[0].as_py() & 0xFFFFFFFFFFFFFFFF)
+    band = table.column("band")[0].as_py()
     sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-    one = bool((side == 2).all())
+    alone = bool((side == 2).all())
     left = np.flatnonzero(side != 1)
-    right = left if one else np.flatnonzero(side == 1)
-    pairs = prune(sigs[left], sigs[right], one)
-    a, b = left[pairs[:, 0]], right[pairs[:, 1]]
-    if len(a):
-        first = _bands_before(sigs[a], sigs[b], np.full(len(a), bucket, np.uint64))
-        a, b = a[first], b[first]
-    return a, b
+    right = left if alone else np.flatnonzero(side == 1)
+    held = sigs[right]
+    for n, row in enumerate(left):
+        after = n + 1 if alone else 0
+        rest = held[after:]
+        alive = prune(sigs[row], rest)
+        if len(alive):
+            alive = alive[_first_shared(sigs[row], rest[alive]) == band]
+        if len(alive):
+            yield int(row), right[after + alive]
 
 
 def _by_group(body):
@@ -215,55 +211,31 @@ def _by_group(body):
 
 
 KEYS = ["bucket", "lo", "hi"]
-GROUP = "bucket long, lo int, hi int, side int, node long"
+GROUP = "bucket long, lo int, hi int, band int, side int, node long"
 FOUND = "a long, b long, n long"
 
 
 def _hopeful(table: pa.Table):
     """The rows of a group that are in a surviving pair."""
-    a, b = _survivors(table)
-    if len(a):
-        yield table.select([*KEYS, "side", "node"]).take(np.union1d(a, b)).combine_chunks().to_batches()[0]
-
-
-def _common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Size of the intersection of the sets of each pair; pairs of one a lie together."""
-    distinct, which = np.unique(np.concatenate(sets), return_inverse=True)
-    sizes = np.array([len(x) for x in sets])
-    starts = np.cumsum(sizes) - sizes
-    mark = np.zeros(len(distinct), bool)
-    out = np.zeros(len(a), np.int64)
-    edges = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else []
-    for i, j in zip(edges, np.append(edges[1:], len(a)) if len(a) else []):
-        own = which[starts[a[i]] : starts[a[i]] + sizes[a[i]]]
-        mark[own] = True
-        others = b[i:j]
-        flat = np.concatenate([which[starts[o] : starts[o] + sizes[o]] for o in others])
-        out[i:j] = np.add.reduceat(mark[flat].astype(np.int64), np.cumsum(sizes[others]) - sizes[others])
-        mark[own] = False
-    return out
+    held = np.zeros(table.num_rows, bool)
+    for row, others in _survivors(table):
+        held[row] = True
+        held[others] = True
+    if held.any():
+        yield table.select([*KEYS, "band", "side", "node"]).filter(pa.array(held)).combine_chunks().to_batches()[0]
 
 
 def _linked(table: pa.Table):
     """Verified links of a group: (a, null, n), n links of set a, and (a, b, null), links that span it.
 
-    A group gives no more rows than it has, however many of its pairs are links.
+    A group gives no more rows than it has, however many of its pairs are links. The whole sets of
+    one row and of ``TOGETHER`` shingles of its partners are compared at a time.
     """
-    a, b = _survivors(table)
-    if not len(a):
-        return
-    order = np.argsort(a, kind="stable")
-    a, b = a[order], b[order]
     sets = [np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()]
-    sizes = np.array([len(x) for x in sets])
-    both = _common(sets, a, b)
-    fits = 10 * both >= round(10 * THRESHOLD) * (sizes[a] + sizes[b] - both)
-    a, b = a[fits], b[fits]
-    if not len(a):
-        return
+    sizes = np.array([len(x) for x in sets], np.int64)
     nodes = table.column("node").to_numpy()
-    degree = np.bincount(np.concatenate([a, b]), minlength=len(nodes))
-    parent = list(range(len(nodes)))
+    degree = np.zeros(len(sets), np.int64)
+    parent = list(range(len(sets)))
 
     def root(n):
         while parent[n] != n:
@@ -271,12 +243,23 @@ def _linked(table: pa.Table):
         return n
 
     tree = []
-    for i, j in zip(a.tolist(), b.tolist()):
-        x, y = root(i), root(j)
-        if x != y:
-            parent[x] = y
-            tree.append((i, j))
+    for row, others in _survivors(table):
+        for some in np.split(others, np.flatnonzero(np.diff(np.cumsum(sizes[others]) // TOGETHER)) + 1):
+            flat = np.concatenate([sets[o] for o in some])
+            place = np.minimum(np.searchsorted(sets[row], flat), sizes[row] - 1)
+            ends = np.cumsum(sizes[some]) - sizes[some]
+            both = np.add.reduceat((sets[row][place] == flat).astype(np.int64), ends)
+            fits = some[10 * both >= round(10 * THRESHOLD) * (sizes[row] + sizes[some] - both)]
+            degree[row] += len(fits)
+            degree[fits] += 1
+            for other in fits.tolist():
+                x, y = root(row), root(other)
+                if x != y:
+                    parent[x] = y
+                    tree.append((row, other))
     held = np.flatnonzero(degree)
+    if not len(held):
+        return
     tied = np.array(tree)
     yield pa.RecordBatch.from_arrays(
         [
@@ -288,26 +271,42 @@ def _linked(table: pa.Table):
     )
 
 
+def _crowds(banded: DataFrame) -> DataFrame:
+    """(bucket, band, size, blocks) of the buckets in which pairs can be new.
+
+    A bucket of two sets or more whose members are just those of a bucket of an earlier band holds no
+    pair that meets there first, so only the first of such buckets stays. Members are told by their
+    number, their shingles and two 64-bit combinations of their names.
+    """
+    full = banded.groupBy("bucket", "band").agg(
+        F.count("*").alias("size"),
+        F.sum("items").alias("items"),
+        F.bit_xor("node").alias("one"),
+        F.bit_xor(F.xxhash64("node")).alias("two"),
+    )
+    full = full.where("size > 1")
+    first = full.groupBy("size", "items", "one", "two").agg(F.min(F.struct("band", "bucket")).alias("least"))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("items") / BLOCK_ITEMS)).cast("int")
+    return first.select("least.bucket", "least.band", "size", blocks.alias("blocks"))
+
+
 def meetings(signed: DataFrame) -> DataFrame:
-    """(bucket, lo, hi, side, node): the sets that meet others with a chance, by group.
+    """(bucket, lo, hi, band, side, node): the sets that meet others with a chance, by group.
 
-    A bucket of up to ``BLOCK`` sets is one group. A larger one is cut into blocks by a hash, and
-    every two blocks meet in a group of their own, so no group is unbounded and no pair is left
-    out. A pair counts in the first band it shares, so most groups of near copies end up empty.
+    A bucket of up to ``BLOCK`` sets and ``BLOCK_ITEMS`` shingles is one group. A larger one is cut into
+    blocks by a hash, and every two blocks meet in a group of their own, so no group is unbounded and
+    no pair is left out. A pair counts in the first band it shares, so most groups of near copies end
+    up empty.
     """
     rows = _banded(signed)
-    full = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = rows.join(full, "bucket").join(signed, "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("own", own)
+    members = rows.select("bucket", "node").join(_crowds(rows), "bucket")
+    own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
+    dealt = members.withColumn("own", own)
     # A member of block i is the left side of (i, j) for j > i, the right of (j, i) for j < i, and both of (i, i).
-    dealt = dealt.select("bucket", "node", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("bucket", "band", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     side = F.when(F.col("own") < F.col("other"), 0).when(F.col("own") > F.col("other"), 1).otherwise(2)
-    dealt = dealt.select(
-        "bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), side.alias("side"), "node", "sig"
-    )
-    together = dealt.repartition(*KEYS).sortWithinPartitions(*KEYS)
+    dealt = dealt.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "band", side.alias("side"), "node")
+    together = dealt.join(signed.select("node", "sig"), "node").repartition(*KEYS).sortWithinPartitions(*KEYS)
     return together.mapInArrow(_by_group(_hopeful), GROUP)
 
 
@@ -332,9 +331,9 @@ def jaccard_links(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataF
     """
     texts = docs.select(F.xxhash64(text_of(text)).alias("key"), text_of(text).alias("body"))
     signed = materialize(_signed(texts), "signed")
-    nodes = signed.groupBy("node").agg(F.min("key").alias("key"), F.min("sig").alias("sig"))
+    nodes = signed.groupBy("node").agg(F.min("key").alias("key"), F.min("items").alias("items"), F.min("sig").alias("sig"))
     nodes = materialize(nodes, "nodes")
-    hopeful = materialize(meetings(nodes.select("node", "sig")), "hopeful")
+    hopeful = materialize(meetings(nodes.select("node", "items", "sig")), "hopeful")
     chosen = nodes.select("node", "key").join(hopeful.select("node").distinct(), "node")
     # Equal texts share a key: one of them gives the set.
     found = texts.join(chosen, "key").select("node", "body")
