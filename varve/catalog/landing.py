@@ -18,6 +18,7 @@ from varve.operators.filters import extract_window, project_fields
 from varve.operators.metadata import SOURCE, batch_of, stamp_batches
 from varve.operators.quality import CORRUPT, formats, reconcile, split_corrupt, verify_checksums
 from varve.session import fresh_dir, materialize
+from varve.sources.digests import verify_files
 from varve.sources.files import (
     land_batches,
     land_jsonl,
@@ -179,6 +180,30 @@ def new_files_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_files(offered, names("lineitem", "l_shipdate"))
 
 
+@query(
+    """SELECT page_id, 'sha256:' || sha256(html || chr(10)) AS found, page_id % 3 <> 1 AS ok
+       FROM pages WHERE page_id % 5 <> 2
+       UNION ALL
+       SELECT page_id, NULL, FALSE FROM pages WHERE page_id % 5 = 2"""
+)
+def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed as a file each, checked against a manifest with sizes.
+
+    Of some the manifest has another digest, of some another size, so that these are not read. Files
+    above 4 KB are digested as streams, the others whole.
+    """
+    pages = table(spark, sf_dir, "pages")
+    path = fresh_dir(spark, "pages")
+    pages.select("page_id", F.col("html").alias("value")).repartition("page_id").write.partitionBy("page_id").text(path)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    name = F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("long").alias("page_id")
+    files = listed.select(name, "path", F.col("_metadata.file_path").alias("file"), "length")
+    digest = F.sha2(F.concat("html", F.when(F.col("page_id") % 3 == 1, " ").otherwise("\n")), 256)
+    size = F.octet_length("html") + F.when(F.col("page_id") % 5 == 2, 2).otherwise(1)
+    stated = pages.select("page_id", F.concat(F.lit("sha256:"), digest).alias("checksum"), size.alias("bytes"))
+    return verify_files(files, stated, "page_id", whole_bytes=4096).select("page_id", "found", "ok")
+
+
 @query(
     """SELECT doc_id, 'sha256:' || sha256(replace(text, chr(10), ' ')) AS checksum,
               'sha256:' || sha256(text) AS found, NOT contains(text, chr(10)) AS ok

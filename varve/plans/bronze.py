@@ -172,18 +172,19 @@ def load_rows(
             key,
             drift=spec.drift,
             new_rows=good,
-            hash_history=store.read_or_none(table, touched, base=commit) if covers else history,
+            # A hash that covers the key lies in its key's bucket; any other one may lie anywhere.
+            hash_history=store.read_or_none(table, touched, base=commit) if covers else store.read_content(table, new, commit),
         )
         compact = [b for b in touched if len(commit.parts.get(commit.part(b, False), [])) >= GENERATIONS]
         if compact:
             closed = store.read_or_none(table, compact, is_open=False, base=commit)
             merged = merged.unionByName(closed, allowMissingColumns=True)
-        store.replace_buckets(merged, table, touched, compact, files, last, base=commit)
+        store.replace_buckets(merged, table, touched, compact, files, last, base=commit, index=not covers)
         return outcome
     # A first load; or a column changed its type, which stored files cannot do in place.
     whole = new if history is None else union_history(history, new, spec.drift)
     flagged = add_version_flags(whole, key, hash_covers_key=covers)
-    store.replace(flagged, table, key, "_latest", files, last, base=commit)
+    store.replace(flagged, table, key, "_latest", files, last, base=commit, index=not covers)
     return outcome
 
 

@@ -7,10 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from varve.operators.quality import require, verify_checksums
+from varve.operators.quality import require
 from varve.plans.bronze import Outcome, ingest_bronze, run_tables
 from varve.plans.silver import publish_silver
-from varve.sources.files import TRANSACTION_FILES, new_files, route_files
+from varve.sources.digests import verify_files
+from varve.sources.files import TRANSACTION_FILES, manifest, new_files, route_files
 from varve.sources.store import Store
 from varve.spec import TableSpec, Zones
 
@@ -35,18 +36,12 @@ def snapshot_transactions(
     """Load landed snapshot files and publish the newest snapshot per business date.
 
     Each table's key is its business date, so the newest file that holds a date replaces
-    all earlier rows of that date. ``checksums`` (``name``, ``checksum``), if given, must
-    hold for the landed bytes of the named files before anything is loaded.
+    all earlier rows of that date. ``checksums`` (``name``, ``checksum``, and ``bytes`` if
+    known), if given, must hold for the named files that wait before anything is loaded;
+    other files are not read for it.
     """
     if checksums is not None:
-        content = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .load(zones.landing)
-            .selectExpr("element_at(split(path, '/'), -1) AS name", "content")
-        )
-        named = content.join(checksums.select("name"), "name", "left_semi")
-        require(verify_checksums(named, checksums), "checksum mismatch")
+        require(verify_files(manifest(spark, zones.landing, list(specs)), checksums), "checksum mismatch")
     store = Store(spark, zones, buckets=buckets)
     loads = {
         name: lambda spec=spec: ingest_bronze(spark, zones, spec, clock, code_version, store)

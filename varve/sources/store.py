@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varve.functions.columns import column
+from varve.operators.known import bitmaps_for, content_bitmaps, may_hold
+from varve.operators.versioning import ROW_HASH
 from varve.sources.folders import Folder
 from varve.spec import Zones, one_of, plain_name
 
 BUCKET = "_bucket"
 FILES = "table string, batch string, folder string, ext string, file string"
+KNOWN = "part string, bitmaps int, slot int, bits binary, gen string"
 
 # Stands for the newest commit, where a caller has not read one yet.
 LATEST: Any = object()
@@ -129,6 +132,9 @@ class Store:
             states = [is_open] if is_open is not None else [True, False]
             names = {commit.part(b, state) for b in chosen for state in states}
             parts = {name: parts[name] for name in names if name in parts}
+        return self._read_parts(table, commit, parts)
+
+    def _read_parts(self, table: str, commit: Commit, parts: dict[str, list[str]], with_part: bool = False) -> DataFrame:
         root = self._root(table)
         paths = [f"{root}/gen={g}/{part}" for part, found in parts.items() for g in found]
         if not paths:
@@ -139,7 +145,8 @@ class Store:
         if commit.buckets:
             schema = schema.add(BUCKET, T.IntegerType())
         found = self.spark.read.option("basePath", root).schema(schema).parquet(*paths)
-        return found.select(*[column(n) for n in commit.schema.names])
+        named = [F.regexp_extract("_metadata.file_path", "/gen=[^/]+/(.+)/[^/]+$", 1).alias("part")] if with_part else []
+        return found.select(*[column(n) for n in commit.schema.names], *named)
 
     def read(self, table: str) -> DataFrame:
         """The whole table."""
@@ -173,6 +180,7 @@ class Store:
         files: str | None = None,
         clock: int = 0,
         base: Commit | None = LATEST,
+        index: bool = False,
         **derived,
     ) -> Commit:
         """Make ``df`` the table, whatever it was; ``df`` may read the table (K2, K3).
@@ -181,12 +189,13 @@ class Store:
         some of them; with ``split``, a flag that never turns true again, its closed rows
         (flag false) are kept apart. ``files`` names a staged list of files, taken in by
         this commit. ``base`` is the commit that ``df`` was made from: should another
-        writer have committed since, the write fails and leaves that one's table.
+        writer have committed since, the write fails and leaves that one's table. ``index``
+        keeps bitmaps of the row hashes, for :meth:`read_content`.
         """
         old = self.commit_of(table) if base is LATEST else base
         buckets = (old.buckets if old and old.buckets else self.buckets) if key else None
         layout = {"key": list(key or []), "buckets": buckets, "split": split if key else None}
-        return self._write(df, table, old, {}, layout, files, clock, derived)
+        return self._write(df, table, old, {}, layout, files, clock, index, derived)
 
     def replace_buckets(
         self,
@@ -197,13 +206,14 @@ class Store:
         files: str | None = None,
         clock: int = 0,
         base: Commit | None = LATEST,
+        index: bool = False,
         **derived,
     ) -> Commit:
         """Make ``df`` the content of the named buckets; others stay (K4).
 
         In a split table it is their whole open content, and closed rows of ``df`` are
-        added to those stored, or replace them in the buckets to ``compact``. ``base`` is
-        as in :meth:`replace`.
+        added to those stored, or replace them in the buckets to ``compact``. ``base`` and
+        ``index`` are as in :meth:`replace`.
         """
         old = self.commit_of(table) if base is LATEST else base
         if old is None or old.buckets is None:
@@ -211,7 +221,34 @@ class Store:
         gone = {old.part(b, True) for b in buckets} | {old.part(b, False) for b in compact}
         kept = {part: found for part, found in old.parts.items() if part not in gone}
         layout = {"key": old.key, "buckets": old.buckets, "split": old.split}
-        return self._write(df, table, old, kept, layout, files, clock, derived)
+        return self._write(df, table, old, kept, layout, files, clock, index, derived)
+
+    def read_content(self, table: str, new: DataFrame, base: Commit) -> DataFrame:
+        """The stored rows among which are all that have the row hash of a row of ``new``.
+
+        Only parts whose bitmaps share a place with the new hashes are read; a part without bitmaps is.
+        """
+        root = f"{self._control(table)}/known"
+        made = set(Folder(self.spark, root).names())
+        parts = [(part, g) for part, found in base.parts.items() for g in found]
+        listed = [(part, g) for part, g in parts if f"gen={g}" in made]
+        if not listed:
+            return self.read_or_none(table, base=base)
+        paths = [f"{root}/gen={g}" for g in sorted({g for _, g in listed})]
+        index = self.spark.read.option("basePath", root).schema(KNOWN).parquet(*paths)
+        held = {(r["part"], r["gen"]) for r in may_hold(index, ["part", "gen"], new).collect()}
+        chosen: dict[str, list[str]] = {}
+        for part, g in parts:
+            if f"gen={g}" not in made or (part, g) in held:
+                chosen.setdefault(part, []).append(g)
+        return self._read_parts(table, base, chosen)
+
+    def _know(self, table: str, generation: str, parts: Sequence[str], rows: int) -> None:
+        """Write the bitmaps of a generation, from the hash column just stored."""
+        commit = Commit(0, T.StructType([T.StructField(ROW_HASH, T.StringType())]), {p: [generation] for p in parts}, buckets=1)
+        stored = self._read_parts(table, commit, commit.parts, with_part=True)
+        index = content_bitmaps(stored, ["part"], bitmaps_for(-(-rows // max(len(parts), 1))))
+        index.write.parquet(f"{self._control(table)}/known/gen={generation}")
 
     def touched(self, table: str, new: DataFrame) -> list[int]:
         """The buckets the keys of ``new`` fall in; at most as many as the table has."""
@@ -219,7 +256,7 @@ class Store:
         found = new.select(bucket_of(commit.key, commit.buckets).alias("bucket")).distinct()
         return sorted(row["bucket"] for row in found.collect())
 
-    def _write(self, df, table, old, kept, layout, files, clock, derived) -> Commit:
+    def _write(self, df, table, old, kept, layout, files, clock, index, derived) -> Commit:
         generation = uuid4().hex
         path = f"{self._root(table)}/gen={generation}"
         counted, rows = Observation(), F.count("*").alias("rows")
@@ -246,6 +283,8 @@ class Store:
         for name in names:
             commit.parts[name] = [*commit.parts.get(name, []), generation]
         commit.rows = counted.get["rows"]
+        if index and commit.buckets and names:
+            self._know(table, generation, names, commit.rows)
         self._commits(table).create(f"{commit.version:08d}.json", commit.to_json())
         return commit
 
