@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varve.catalog.base import fresh_zones, query, table
+from varve.catalog.base import fresh_zones, micros_text, query, table
 from varve.functions.nested import json_to_struct
+from varve.operators.filters import extract_gaps
 from varve.operators.quality import listing_complete, totals
+from varve.operators.reconcile import row_differences
 from varve.sources.fetch import fetch_by_key
 from varve.sources.files import land_jsonl, read_jsonl
 
@@ -83,3 +86,53 @@ def turn_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     declared = turns.select("conv_id", (F.col("turn") + 1).alias("total"))
     return totals(turns, declared, "conv_id", "total")
+
+
+LANDED = """
+    WITH sent AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders),
+         landed AS (SELECT o_orderkey, CASE WHEN o_orderkey % 89 = 3 THEN NULL ELSE o_custkey END AS o_custkey,
+                           o_orderstatus, o_totalprice
+                    FROM sent, (VALUES (1), (2)) AS times(n)
+                    WHERE o_orderkey % 97 <> 5 AND (n = 1 OR o_orderkey % 83 = 1))
+"""
+
+
+@query(
+    f"""{LANDED}
+       SELECT 'extracted' AS side, *, 1 AS copies FROM (SELECT * FROM sent EXCEPT ALL SELECT * FROM landed)
+       UNION ALL
+       SELECT 'landed', *, 1 FROM (SELECT * FROM landed EXCEPT ALL SELECT * FROM sent)"""
+)
+def content_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: rows lost, changed and doubled between an extract and what landed of it."""
+    sent = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    times = F.explode(F.when(F.col("o_orderkey") % 83 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    damaged = sent.where("o_orderkey % 97 <> 5").select("*", times.alias("n")).drop("n")
+    damaged = damaged.withColumn("o_custkey", F.when(F.col("o_orderkey") % 89 != 3, F.col("o_custkey")))
+    zones = fresh_zones(spark, "reconcile")
+    land_jsonl(damaged, zones, "orders", "orders")
+    landed = read_jsonl(spark, f"{zones.landing}/orders/orders.jsonl", sent.schema).select(*sent.columns)
+    found = row_differences(sent, landed, names=("extracted", "landed"))
+    return found.withColumn("copies", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+
+
+@query(
+    """WITH bounds AS (SELECT TIMESTAMP '2024-01-02 00:00:00' AS low, TIMESTAMP '2024-01-28 12:00:00' AS high),
+            held AS (SELECT event_type, greatest(ts, low) AS a, least(ts + to_seconds(event_id % 120 * 60), high) AS b
+                     FROM events, bounds WHERE event_id % 3 <> 0),
+            all_of AS (SELECT event_type, a, b FROM held WHERE b > a
+                       UNION ALL SELECT DISTINCT event_type, low, low FROM events, bounds WHERE event_id % 3 <> 0
+                       UNION ALL SELECT DISTINCT event_type, high, high FROM events, bounds WHERE event_id % 3 <> 0),
+            run AS (SELECT event_type, a, max(b) OVER (PARTITION BY event_type ORDER BY a, b
+                                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto FROM all_of)
+       SELECT event_type, strftime(upto, '%Y-%m-%d %H:%M:%S.%f') AS gap_start, strftime(a, '%Y-%m-%d %H:%M:%S.%f') AS gap_end
+       FROM run WHERE a > upto""",
+    name="extract_gaps",
+)
+def missing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The times of each object that no extract window covered."""
+    events = table(spark, sf_dir, "events").where("event_id % 3 <> 0")
+    end = F.timestamp_add("MINUTE", (F.col("event_id") % 120).cast("int"), F.col("ts"))
+    windows = events.select("event_type", "ts", end.alias("until"))
+    gaps = extract_gaps(windows, "event_type", "ts", "until", datetime(2024, 1, 2), datetime(2024, 1, 28, 12))
+    return gaps.select("event_type", *[micros_text(c).alias(c) for c in ("gap_start", "gap_end")])

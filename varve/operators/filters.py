@@ -1,11 +1,11 @@
-"""Filters, work lists and chunks."""
+"""Filters, work lists and chunks."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varve.functions.columns import column
@@ -87,6 +87,45 @@ def extract_window(
     return project_fields(rows, columns) if columns else rows
 
 
+def extract_gaps(
+    windows: DataFrame, key: str, start: str, end: str, first: datetime, last: datetime, pieces: int = 256
+) -> DataFrame:
+    """The times between ``first`` and ``last`` that no extract window of an object covers.
+
+    ``windows`` has a row for each window that was extracted, half open, of an object ``key``; they may
+    overlap, touch, contain each other, come twice, or reach beyond the bounds. One row per object and
+    gap: ``key``, ``gap_start``, ``gap_end``. Windows that are null at an end or end before they start
+    cover nothing; an object that has none but such ones is one gap.
+
+    The time is cut into ``pieces``. How far windows of earlier pieces reach is carried over as one
+    number per object and piece, so only windows of one object and piece are sorted together.
+    """
+    kind = windows.schema[start].dataType
+    low, high = (F.lit(str(t)).cast(kind) for t in (first, last))
+    begun, done = F.greatest(column(start), low), F.least(column(end), high)
+    objects = windows.select(column(key).alias("__key")).distinct()
+    # Windows that begin together are one, up to the latest end.
+    whole = windows.where(column(start).isNotNull() & column(end).isNotNull())
+    held = whole.select(column(key).alias("__key"), begun.alias("__from"), done.alias("__to"))
+    held = held.where("__to > __from").groupBy("__key", "__from").agg(F.max("__to").alias("__to"))
+    step = max((last - first) / pieces, timedelta(microseconds=1))
+    passed = F.timestamp_diff("SECOND", low, F.col("__from")) / step.total_seconds()
+    held = held.withColumn("__piece", F.floor(passed).cast("int"))
+    # The bounds stand as windows without a length.
+    edges = objects.select("__key", F.lit(0).alias("__piece"), low.alias("__from"), low.alias("__to")).union(
+        objects.select("__key", F.lit(pieces + 1).alias("__piece"), high.alias("__from"), high.alias("__to"))
+    )
+    held = held.select("__key", "__piece", "__from", "__to").union(edges)
+    earlier = Window.partitionBy("__key").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    reach = held.groupBy("__key", "__piece").agg(F.max("__to").alias("__max"))
+    reach = reach.select(F.col("__key").alias("__of"), F.col("__piece").alias("__at"), F.max("__max").over(earlier).alias("__carried"))
+    joined = held.join(reach, F.col("__key").eqNullSafe(F.col("__of")) & (F.col("__piece") == F.col("__at")))
+    inside = Window.partitionBy("__key", "__piece").orderBy("__from", "__to").rowsBetween(Window.unboundedPreceding, -1)
+    covered = F.greatest(F.max("__to").over(inside), "__carried")
+    gaps = joined.withColumn("__covered", covered).where("__from > __covered")
+    return gaps.select(F.col("__key").alias(key), F.col("__covered").alias("gap_start"), F.col("__from").alias("gap_end"))
+
+
 def project_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Exactly the named columns; a name with dots is one name, a missing one fails."""
     missing = [f for f in fields if f not in df.columns]

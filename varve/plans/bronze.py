@@ -5,8 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime
+from threading import Event, Thread
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,18 +37,21 @@ class Outcome:
     """What one table's load did."""
 
     table: str
-    status: str  # "loaded", "no new files" or "failed"
+    status: str  # "loaded", "no new files", "failed" or "timed out"
     rows: int = 0
     corrupt: int = 0
     error: str | None = None
 
 
+FAILED = ("failed", "timed out")
+
+
 class LoadFailure(Exception):
     """Some tables failed; the others are done. ``outcomes`` has all of them."""
 
     def __init__(self, outcomes: list[Outcome]) -> None:
         self.outcomes = outcomes
-        failed = {o.table: o.error for o in outcomes if o.status == "failed"}
+        failed = {o.table: o.error for o in outcomes if o.status in FAILED}
         super().__init__(f"{len(failed)} of {len(outcomes)} tables failed: {failed}")
 
 
@@ -204,24 +210,59 @@ def quarantined(
     return split_corrupt(materialize(scan(spark, spec, paths, ext), "scanned"))[1]
 
 
+class _Deadline:
+    """Cancels the Spark jobs that this thread starts, once ``seconds`` have passed."""
+
+    def __init__(self, spark: SparkSession, seconds: float) -> None:
+        self._context, self._tag = spark.sparkContext, f"varve-{uuid4().hex}"
+        self._seconds, self._over, self.passed = seconds, Event(), False
+
+    def _watch(self) -> None:
+        pause = self._seconds
+        # A load is many jobs, and one may begin just after another was cancelled.
+        while not self._over.wait(pause):
+            self.passed, pause = True, 0.2
+            self._context.cancelJobsWithTag(self._tag)
+
+    def __enter__(self) -> _Deadline:
+        self._context.addJobTag(self._tag)
+        Thread(target=self._watch, daemon=True).start()
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._over.set()
+        self._context.removeJobTag(self._tag)
+
+
 def run_tables(
-    tables: Mapping[str, Callable[[], Outcome]], at_once: int = 4
+    tables: Mapping[str, Callable[[], Outcome]],
+    at_once: int = 4,
+    spark: SparkSession | None = None,
+    deadlines: Mapping[str, float] | None = None,
 ) -> list[Outcome]:
     """Run every table's load, some at once; one failure does not stop the others (Q3).
 
-    Raises :class:`LoadFailure` with the full report at the end if any failed.
+    ``deadlines`` gives tables a number of seconds, from the start of their own load, after which
+    their jobs of the session ``spark`` are cancelled, and those of no other table. A load that
+    committed before counts as loaded; one that is cancelled leaves its table as it was.
+    Raises :class:`LoadFailure` with the full report at the end if any failed or timed out.
     """
+    deadlines = deadlines or {}
+    if deadlines and spark is None:
+        raise ValueError("deadlines need the session whose jobs they cancel")
 
     def run(table: str) -> Outcome:
+        limit = _Deadline(spark, deadlines[table]) if table in deadlines else None
         try:
-            return tables[table]()
+            with limit or nullcontext():
+                return tables[table]()
         except Exception as error:
             logging.warning("%s failed: %r", table, error)
-            return Outcome(table, "failed", error=repr(error))
+            return Outcome(table, "timed out" if limit and limit.passed else "failed", error=repr(error))
 
     with ThreadPoolExecutor(at_once) as pool:
         outcomes = list(pool.map(run, tables))
-    if any(o.status == "failed" for o in outcomes):
+    if any(o.status in FAILED for o in outcomes):
         raise LoadFailure(outcomes)
     return outcomes
 
