@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varve.catalog.base import fresh_zones, micros_text, query, table
+from varve.functions.json_paths import json_paths, split_malformed
 from varve.functions.nested import json_to_struct
 from varve.operators.filters import extract_gaps
 from varve.operators.quality import listing_complete, totals
@@ -136,3 +137,42 @@ def missing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = events.select("event_type", "ts", end.alias("until"))
     gaps = extract_gaps(windows, "event_type", "ts", "until", datetime(2024, 1, 2), datetime(2024, 1, 28, 12))
     return gaps.select("event_type", *[micros_text(c).alias(c) for c in ("gap_start", "gap_end")])
+
+
+# Events whose text was damaged: a tenth is cut short, a tenth has other kinds and deeper values.
+_DEEP = '{"k": "x", "deep": {"a.b": [1, null, 2.5, [true]], "none": {}}}'
+DAMAGED = f"""SELECT event_id, CASE event_id % 10 WHEN 0 THEN left(props, length(props) - 1)
+                     WHEN 1 THEN '{_DEEP}' WHEN 2 THEN NULL ELSE props END AS props FROM events"""
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = F.expr("left(props, length(props) - 1)")
+    kind = F.col("event_id") % 10
+    text = F.when(kind == 0, cut).when(kind == 1, F.lit(_DEEP)).when(kind != 2, F.col("props"))
+    return table(spark, sf_dir, "events").select("event_id", text.alias("props"))
+
+
+@query(
+    f"""WITH d AS (SELECT event_id % 10 AS r FROM ({DAMAGED}))
+        SELECT path, kind, count(*) AS "count" FROM d, (VALUES ('$', 'malformed', 0, 0), ('$', 'object', 1, 1), ('$', 'object', 3, 9),
+            ('$.k', 'integer', 3, 9), ('$.k', 'string', 1, 1), ('$.deep', 'object', 1, 1), ('$.deep.a.b', 'array', 1, 1),
+            ('$.deep.none', 'object', 1, 1), ('$.deep.a.b[]', 'integer', 1, 1), ('$.deep.a.b[]', 'null', 1, 1),
+            ('$.deep.a.b[]', 'number', 1, 1), ('$.deep.a.b[]', 'array', 1, 1), ('$.deep.a.b[][]', 'boolean', 1, 1))
+            AS found(path, kind, low, high) WHERE r BETWEEN low AND high GROUP BY path, kind""",
+    name="json_paths",
+)
+def paths_of_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every path of a damaged JSON column, with kinds and counts."""
+    return json_paths(_damaged(spark, sf_dir), "props").select("path", "kind", "count")
+
+
+@query(
+    f"""SELECT event_id, CASE WHEN event_id % 10 = 1 THEN 'x' ELSE json_extract_string(props, '$.k') END AS k, event_id % 10 = 1 AS deep, FALSE AS broken
+        FROM ({DAMAGED}) WHERE event_id % 10 <> 0
+        UNION ALL SELECT event_id, NULL, FALSE, TRUE FROM events WHERE event_id % 10 = 0"""
+)
+def json_kept_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A damaged JSON column as structs, a path of two kinds as text, and its broken rows kept."""
+    good, bad = split_malformed(_damaged(spark, sf_dir), "props")
+    opened = json_to_struct(good, "props").select("event_id", "props.k", F.col("props.deep").isNotNull().alias("deep"), F.lit(False).alias("broken"))
+    return opened.union(bad.select("event_id", F.lit(None).cast("string"), F.lit(False), F.lit(True)))

@@ -9,23 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varve.functions.columns import column
+from varve.functions.json_paths import json_paths, schema_of_paths
 
 
 def inferred_schema(df: DataFrame, col: str) -> T.StructType:
-    """Schema of the JSON objects in a text column, in one distributed aggregate."""
-    found = df.agg(
-        F.schema_of_variant_agg(F.try_parse_json(column(col))).alias("found")
-    ).first()["found"]
-    if not found or not found.startswith("OBJECT<"):
-        raise ValueError(f"column {col!r} holds no JSON objects (found {found})")
-    return T._parse_datatype_string(found.replace("OBJECT<", "STRUCT<").replace(" VOID", " STRING"))
+    """Schema of the JSON objects in a text column, by the kinds of all their paths."""
+    paths = json_paths(df, col).select("steps", "kind").distinct().collect()
+    found = schema_of_paths([(r["steps"], r["kind"]) for r in paths])
+    if not isinstance(found, T.StructType):
+        raise ValueError(f"column {col!r} holds no JSON objects (found {found.simpleString()})")
+    return found
 
 
 def json_to_struct(df: DataFrame, col: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Replace a JSON text column by the struct it holds.
 
-    Without ``schema`` the data is read once to infer it. Malformed text gives a null
-    struct's fields.
+    Without ``schema`` the data is read to infer it. Malformed text gives a null struct's fields:
+    :func:`varve.functions.json_paths.split_malformed` tells such rows apart, to be kept and counted.
     """
     schema = schema if schema is not None else inferred_schema(df, col)
     return df.withColumn(col, F.from_json(column(col), schema))
