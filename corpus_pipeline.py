@@ -1,4 +1,9 @@
-"""From documents to tokens: five stages, each written as Parquet and read again by the next."""
+"""From documents to tokens: five stages, each written as Parquet and read again by the next.
+
+All stages take the columns of ``documents`` and any more, whatever their names. A null text counts as
+empty, null ids, languages and sources are values like any other, repeated rows stay rows each unless a
+stage says otherwise, texts of any length are taken whole, and an empty table gives one.
+"""
 
 from __future__ import annotations
 
@@ -16,19 +21,30 @@ from varve.session import materialize, ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go, null, empty and blank texts among them (fewer than ten words).
+
+    Copies share a verdict. A long text is measured whole, in memory in proportion to it.
+    """
     ship(spark)
     return reject_bad(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of least id stays."""
+    """Of each group of near duplicates the document of least id stays.
+
+    Null ids come last; of equal ids the text of least hash stays, and of repeated rows one. Texts without
+    words are no duplicates and all stay.
+    """
     ship(spark)
     return keep_one(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; ``n_chars`` follows the text where that changed."""
+    """Secrets are replaced by a mark; ``n_chars`` follows the text where that changed.
+
+    Null and empty texts stay as they are, repeated rows are redacted alike, and no row goes. Time grows
+    with the square of the secrets of one text, so a text of many thousands is slow.
+    """
     was, clean = spare(docs, "__was", "__n")
     marked = redact(docs.withColumn(was, F.length("text")))
     changed = marked.withColumn(clean, F.length("text"))
@@ -37,7 +53,11 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents by the target weights of domains, languages and sources; a second epoch repeats rows."""
+    """Documents by the target weights of domains, languages and sources; a second epoch repeats rows.
+
+    Texts without words cost nothing. Rows equal in id and text have one place in the order and are taken
+    or left together. A null language or source is the empty name.
+    """
     tokens, copies, one = spare(docs, "__tokens", "__copies", "__one")
     mixed = mix(docs, MIX_SHARE, MIX_WEIGHTS, domain=domain_of(), out=(tokens, copies))
     repeated = mixed.withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"`{copies}`"))))
@@ -45,7 +65,11 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document, 32-bit little-endian, and a digest of the bytes they decode to."""
+    """Ids of each document, 32-bit little-endian, and a digest of the bytes they decode to.
+
+    The columns are ``doc_id``, ``lang``, ``source``, ``n_tokens``, ``ids`` and ``decoded_sha256``; all others
+    of the documents end here. An empty text has no ids and the digest of no bytes.
+    """
     ship(spark)
     ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     encoded = encode(docs.select("doc_id", "lang", "source", "text"), ["doc_id", "lang", "source"], ranks, public_tokenizers.PATTERN)
