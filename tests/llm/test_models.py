@@ -335,3 +335,24 @@ def test_pipeline(spark, sf_texts, sf_dir, docs):
     for name, stage in corpus_pipeline.STAGES:
         frame = stage(spark, frame, sf_dir)
         assert frame.count() >= 0, name
+
+
+def test_stages_of_an_empty_table(spark, sf_dir, no_docs):
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, no_docs, sf_dir)
+        assert made.collect() == [], name
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert made.columns == no_docs.columns, name
+
+
+def test_stages_of_a_text_of_some_megabytes(spark, sf_dir):
+    """A long text with a secret and its near copy: one stays, whole but for the secret, and round-trips."""
+    words = " ".join(f"word{n * 7919 % 999_983}" for n in range(250_000))
+    rows = [(1, words + " password = hunter2hunter2hunter2 end", "en", "src1", None), (2, words + " end", "en", "src1", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, sf_dir)
+    (kept,) = docs.collect()
+    assert kept["doc_id"] == 1 and kept["text"].startswith(words) and "hunter2" not in kept["text"] and kept["text"].endswith("end")
+    (ids,) = corpus_pipeline.STAGES[4][1](spark, docs, sf_dir).collect()
+    assert ids["decoded_sha256"] == hashlib.sha256(kept["text"].encode()).hexdigest()

@@ -19,14 +19,14 @@ from varve.llm.common import parts_for, pieces, text_of
 from varve.session import broadcast_if_small
 
 # Bytes of text whose tokens one file holds, and the rows one file may have.
-FILE_BYTES, FILE_ROWS = 64 << 20, 1_000_000
+FILE_BYTES, FILE_ROWS = 32 << 20, 1_000_000
 # Parts of words whose ids a worker remembers in each of two generations, and the longest.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 64
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 
 # Letters and digits up to the word's end or to a mark after which the library never joins them.
 _WORD = "(?s)^(?P<stem>[A-Za-z0-9À-ÖØ-öø-ÿ]+)(?P<rest>(?:[.,;:!?#&$*()\"].*)?)$"
 # Words that go through the library in one call, and bytes of text worked on at once.
-TOGETHER, CHUNK_BYTES = 10_000, 4 << 20
+TOGETHER, CHUNK_BYTES = 10_000, 2 << 20
 
 
 @dataclass(frozen=True)
