@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from varve.llm.common import parts_for, spare, text_of
 from varve.llm.trigrams import Query, trigram_query
+from varve.session import broadcast_if_small, materialize_counted
 
 # Different texts in a block of the index: the bound of one posting list.
 BLOCK_TEXTS = 4096
+# Values folded one after the other by a running sum or maximum.
+FOLDED = 64
+SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
 @dataclass(frozen=True)
@@ -55,6 +59,40 @@ RULES = (
 )
 
 
+def _running(values: Column, step) -> Column:
+    """For each place of an array of integers, ``step`` (sum or maximum) over all values up to there.
+
+    A fold copies what it has so far, so one over the whole array takes time with its square. This one
+    folds pieces of ``FOLDED`` values, then what the pieces come to, in three levels.
+    """
+
+    def folded(array: Column) -> Column:
+        start = F.slice(array, 1, 1)
+        return F.aggregate(
+            F.slice(array, 2, F.greatest(F.size(array), F.lit(1))),
+            start,
+            lambda out, v: F.concat(out, F.array(step(F.element_at(out, -1), v))),
+        )
+
+    def level(array: Column, depth: int) -> Column:
+        if not depth:
+            return folded(array)
+        last = F.floor((F.size(array) - 1) / FOLDED).cast("int")
+        pieces = F.transform(F.sequence(F.lit(0), last), lambda n: folded(F.slice(array, n * FOLDED + 1, F.lit(FOLDED))))
+        return _bound(pieces, lambda cut: _bound(level(F.transform(cut, lambda p: F.element_at(p, -1)), depth - 1), lambda upto: spread(cut, upto)))
+
+    def spread(cut: Column, upto: Column) -> Column:
+        shifted = F.transform(cut, lambda p, n: F.when(n == 0, p).otherwise(_bound(F.get(upto, n - 1), lambda u: F.transform(p, lambda v: step(u, v)))))
+        return F.flatten(shifted)
+
+    return _bound(values, lambda array: F.when(F.size(array) > 0, level(array, 2)).otherwise(array))
+
+
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _found(text: Column, rule: Rule) -> Column:
     """Spans of a rule in one text, in code points: array of (start, kind, end).
 
@@ -67,36 +105,17 @@ def _found(text: Column, rule: Rule) -> Column:
     lengths = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
     held = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)), F.length)
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    span = "array<struct<start:int,kind:int,end:int>>"
     kind = [r.kind for r in RULES].index(rule.kind) if rule in RULES else 0
-    steps = F.zip_with(
-        F.arrays_zip(lengths.alias("l"), held.alias("h")),
-        F.slice(gaps, 1, F.size(lengths)),
-        lambda m, gap: F.struct(gap.alias("gap"), m["l"].alias("len"), m["h"].alias("held")),
-    )
-    walked = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), F.array().cast(span).alias("out")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["len"]).alias("at"),
-            F.when(
-                s["held"] >= rule.least,
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + s["gap"]).alias("start"),
-                            F.lit(kind).alias("kind"),
-                            (acc["at"] + s["gap"] + s["len"]).alias("end"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-    )
-    return F.when(F.regexp_like(text, F.lit(pattern)), walked["out"]).otherwise(F.array().cast(span))
+
+    def placed(lengths: Column) -> Column:
+        steps = F.zip_with(lengths, F.slice(gaps, 1, F.size(lengths)), lambda length, gap: length + gap)
+        matches = F.arrays_zip(_running(steps, lambda a, b: a + b).alias("end"), lengths.alias("len"), held.alias("held"))
+        return F.transform(
+            F.filter(matches, lambda m: m["held"] >= rule.least),
+            lambda m: F.struct((m["end"] - m["len"]).alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")),
+        )
+
+    return F.when(F.regexp_like(text, F.lit(pattern)), _bound(lengths, placed)).otherwise(F.array().cast(SPANS))
 
 
 def _postings_of(query: Query, postings: Column) -> Column:
@@ -171,16 +190,18 @@ def find_secrets(docs: DataFrame, text: str = "text", out: str = "spans", rules=
     Rows come back as they are, one for one, with null texts taken as empty: these, empty texts
     and texts without secrets get an empty array. Copies get equal spans. Columns that clash with
     inner names are safe; one that is named ``out`` is an error. An empty table gives none.
+    A text is searched whole, in time that grows with its length and its matches, not with their square.
     """
     if out.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"there is a column {out} already")
     key, hits = spare(docs, "__key", "__rules")
     keyed = docs.withColumn(key, F.xxhash64(text_of(text)))
     whole = keyed.select(key, text_of(text).alias("body"))
-    known = candidates(whole, key, "body", rules).withColumnRenamed("rules", hits)
-    joined = keyed.join(known, key, "left")
+    # Few texts are candidates: while they are few by count, they go to the texts and not the texts to them.
+    known, counted = materialize_counted(candidates(whole, key, "body", rules).withColumnRenamed("rules", hits), "candidates")
+    joined = keyed.join(broadcast_if_small(known, counted["rows"]), key, "left")
     body = text_of(text)
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    none = F.array().cast(SPANS)
     found = [
         F.when(F.array_contains(hits, n), _found(body, r)).otherwise(none) if trigram_query(r.pattern) else _found(body, r)
         for n, r in enumerate(rules)
@@ -192,23 +213,36 @@ def find_secrets(docs: DataFrame, text: str = "text", out: str = "spans", rules=
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", rules=RULES) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark``; overlapping spans are one.
 
-    Rows without secrets stay as they are, null texts included; no row is added or dropped.
+    Rows without secrets stay as they are, null texts included; no row is added or dropped. A text with
+    secrets is held at four bytes a character meanwhile, so it may have half a billion of them; its time
+    grows with its length and the number of its secrets.
     """
     spans = spare(docs, "__spans")[0]
     found = find_secrets(docs, text, spans, rules)
     body = F.col(f"`{text}`")
-    merged = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("done"), F.lit(0).alias("at")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                F.concat(acc["done"], F.substring(body, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("done"),
-                s["end"].alias("at"),
-            ),
-        ).otherwise(F.struct(acc["done"].alias("done"), F.greatest(acc["at"], s["end"]).alias("at"))),
-        lambda acc: F.concat(acc["done"], F.substring(body, acc["at"] + 1, F.length(body))),
-    )
+    # Characters of one width can be cut out anywhere without a walk from the start of the text.
+    wide = F.encode(body, "UTF-32")
+
+    def between(wide: Column, start: Column, end: Column) -> Column:
+        # A decoder takes the first byte-order mark away, so each piece gets one, and its own stay.
+        piece = F.substring(wide, start * 4 + 1, (end - start) * 4)
+        return F.decode(F.concat(F.lit(b"\x00\x00\xfe\xff"), piece), "UTF-32")
+
+    def joined(wide: Column, reach: Column) -> Column:
+        """Text before each span that begins beyond all earlier ones, a mark for each, and the rest."""
+        cuts = F.zip_with(
+            F.col(spans), F.concat(F.array(F.lit(0)), F.slice(reach, 1, F.size(reach) - 1)),
+            lambda s, at: F.struct(at.alias("at"), s["start"].alias("start")),
+        )
+        pieces = F.transform(
+            F.filter(cuts, lambda c: c["start"] >= c["at"]),
+            lambda c: F.concat(between(wide, c["at"], c["start"]), F.lit(mark)),
+        )
+        rest = between(wide, F.element_at(reach, -1), F.floor(F.octet_length(wide) / 4).cast("int"))
+        return F.concat(F.array_join(pieces, ""), rest)
+
+    ends = _running(F.transform(F.col(spans), lambda s: s["end"]), F.greatest)
+    merged = _bound(wide, lambda w: _bound(ends, lambda reach: joined(w, reach)))
     clean = F.when(F.size(spans) > 0, merged).otherwise(body)
     return found.select(*[clean.alias(c) if c.lower() == text.lower() else F.col(f"`{c}`") for c in docs.columns])
 
