@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +22,14 @@ SENT_WORDS = 1 << 16
 DIM, CONTEXT = 16, 2
 # Tokens in a step of the training, noise words of a step, step size.
 BATCH, NOISE, RATE = 8192, 96, 0.15
-# Tokens that a task learns from, about, before the tasks' models are averaged and the next round begins. Only
-# so many tasks learn side by side that there are this many rounds: averages of shallow models score worse.
-ROUND_TOKENS, LEAST_ROUNDS = 1 << 20, 4
+# Tokens that one learner takes in, about, before the learners' models are averaged and the next round begins.
+# Only so many learn side by side that there are this many rounds: averages of shallow models score worse.
+# Both follow the number of tokens alone, so that a cluster of any size gives the same model.
+ROUND_TOKENS, LEAST_ROUNDS = 1 << 20, 8
 # Different words that a task counts before it hands its counts on.
 HELD_WORDS = 400_000
+# Words without a vector whose class a task remembers.
+RARE_HELD = 200_000
 # Contexts whose probabilities are worked out at once.
 TOGETHER = 1024
 # Characters of text whose contexts are looked at together: repeated ones are worked out once.
@@ -41,6 +46,17 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(_LOWER).split()
 
 
+def tokens_of(texts: list[str]) -> tuple[list[bytes], list[int]]:
+    """Words of all texts, an end after each text, and the tokens of each text."""
+    flat, sizes = [], []
+    for text in texts:
+        words = words_of(text)
+        flat += words
+        flat.append(END)
+        sizes.append(len(words) + 1)
+    return flat, sizes
+
+
 def word_key(word: bytes) -> int:
     """64-bit fingerprint of a word, signed as Spark's long."""
     from xxhash import xxh3_64_intdigest
@@ -96,7 +112,8 @@ def contexts(ids: np.ndarray, starts: np.ndarray, before: int) -> np.ndarray:
 
 def _scatter(rows: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
     """Sum of the rows of each id."""
-    order = np.argsort(ids, kind="stable")
+    # Short integers are sorted by their digits.
+    order = np.argsort(ids.astype(np.uint16) if size <= 1 << 16 else ids, kind="stable")
     ranked = ids[order]
     starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
     out = np.zeros((size, *rows.shape[1:]), np.float32)
@@ -114,6 +131,7 @@ class Trainer:
         self.log_noise = np.log(np.maximum(noise, 1e-12)).astype(np.float32)
         self.rng = np.random.default_rng(seed)
         self.squares = squares
+        self.space = np.empty((BATCH, NOISE), np.float32)
 
     def step(self, ids: np.ndarray, context: np.ndarray) -> None:
         """One batch: tell each token from NOISE words that the whole batch shares."""
@@ -125,9 +143,15 @@ class Trainer:
         # The chance that a word is data and not noise: its score against NOISE times its noise share.
         extra = np.float32(np.log(NOISE))
         good = np.einsum("nd,nd->n", query, m.target[ids]) + m.bias[ids] - self.log_noise[ids] - extra
-        bad = query @ m.target[drawn].T + m.bias[drawn] - self.log_noise[drawn] - extra
         g_good = 1 / (1 + np.exp(np.clip(good, -30, 30)))
-        g_bad = -1 / (1 + np.exp(-np.clip(bad, -30, 30)))
+        g_bad = np.matmul(query, m.target[drawn].T, out=self.space[:n])
+        g_bad += m.bias[drawn] - self.log_noise[drawn] - extra
+        np.clip(g_bad, -30, 30, out=g_bad)
+        # -1 / (1 + exp(-x)), in place: the matrix is the largest of a step.
+        np.negative(g_bad, out=g_bad)
+        np.exp(g_bad, out=g_bad)
+        g_bad += 1
+        np.divide(-1, g_bad, out=g_bad)
         d_query = g_good[:, None] * m.target[ids] + g_bad @ m.target[drawn]
         d_target = _scatter(g_good[:, None] * query, ids, len(m.target))
         np.add.at(d_target, drawn, g_bad.T @ query)
@@ -269,49 +293,105 @@ class Reader:
         self.known = known
         self.keys: dict[bytes, int] = {}
 
-    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(fingerprints, classes, starts) of the tokens of all texts, an end after each text."""
-        lists = [words_of(t) for t in texts]
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, which, classes, starts) of all texts, an end after each text.
+
+        ``keys`` are the fingerprints of the distinct words, ``which`` gives each token's place there.
+        """
+        flat, sizes = tokens_of(texts)
+        index = {word: n for n, word in enumerate(dict.fromkeys(flat))}
+        which = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
         if len(self.keys) > HELD_WORDS:
             self.keys.clear()
         keys = self.keys
-        for word in set().union(*lists).difference(keys):
-            keys[word] = word_key(word)
-        end = word_key(END)
-        sizes = np.array([len(x) + 1 for x in lists], np.int64)
-        found = np.fromiter(
-            (k for words in lists for k in (*map(keys.__getitem__, words), end)), np.int64, int(sizes.sum())
-        )
-        distinct, which = np.unique(found, return_inverse=True)
-        own = self.known.own
-        classes = np.array([own.get(k, self.known.rare) for k in distinct.tolist()], np.int32)[which]
-        return found, classes, np.cumsum(sizes) - sizes
+        for word in index:
+            if word not in keys:
+                keys[word] = word_key(word)
+        distinct = [keys[word] for word in index]
+        own, rare = self.known.own, self.known.rare
+        classes = np.array([own.get(k, rare) for k in distinct], np.int32)[which]
+        return np.array(distinct, np.int64), which, classes, np.cumsum(sizes) - sizes
+
+
+class Classes(dict):
+    """The class of a word; remembers the own words and a bounded number of others."""
+
+    def __init__(self, known: Vocabulary):
+        self.own, self.rare = known.own, known.rare
+        self.room = len(known.own) + RARE_HELD
+        self[END] = known.own[word_key(END)]
+
+    def __missing__(self, word: bytes) -> int:
+        found = self.own.get(word_key(word), self.rare)
+        if found != self.rare or len(self) < self.room:
+            self[word] = found
+        return found
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(classes, starts) of the tokens of all texts, an end after each text."""
+        flat, sizes = tokens_of(texts)
+        return np.fromiter(map(self.__getitem__, flat), np.int32, len(flat)), np.cumsum(sizes) - sizes
 
 
 def _rounds(docs: DataFrame, deal: Column, tokens: int) -> tuple[DataFrame, int]:
-    """The texts ``body`` with the ``round`` that learns from them, and the number of rounds.
+    """The texts ``body`` with the ``round`` and the ``learner`` that take them in, and the number of rounds.
 
-    A text's place follows from ``deal``, a hash of its row, and not from the files it came in: in a
-    round each task reads one file of about ROUND_TOKENS tokens, in order of the hash.
+    A text's place follows from ``deal``, a hash of its row, and not from the files it came in or the
+    cores there are. In a round a learner has one file of about ROUND_TOKENS tokens, in order of the
+    hash; small as it is, it has one row group, which tasks do not cut.
     """
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(cores, tokens // (LEAST_ROUNDS * ROUND_TOKENS)))
-    rounds = parts_for(tokens, ROUND_TOKENS * parts)
+    learners = max(1, tokens // (LEAST_ROUNDS * ROUND_TOKENS))
+    rounds = parts_for(tokens, ROUND_TOKENS * learners)
     dealt = docs.select("body", deal.alias("deal"))
-    piece = F.pmod("deal", F.lit(rounds * parts)).cast("int")
-    dealt = dealt.select("body", "deal", F.floor(piece / parts).cast("int").alias("round"), (piece % parts).alias("part"))
-    dealt = dealt.repartitionById(parts, "part").sortWithinPartitions("round", "deal", "body").select("body", "round")
+    piece = F.pmod("deal", F.lit(rounds * learners)).cast("int")
+    dealt = dealt.select(
+        "body", "deal", F.floor(piece / learners).cast("int").alias("round"), (piece % learners).cast("int").alias("learner")
+    )
+    dealt = dealt.repartitionById(learners, "learner").sortWithinPartitions("round", "deal", "body")
+    dealt = dealt.select("body", "learner", "round")
     path = fresh_dir(docs.sparkSession, "rounds")
     dealt.write.partitionBy("round").parquet(path)
     return docs.sparkSession.read.schema(dealt.schema).parquet(path), rounds
 
 
+def _by_learner(batches):
+    """(learner, texts) of rows that lie together, in pieces of bounded size."""
+    for piece, texts in chunks(batches, "body"):
+        learners = piece.column(1).to_numpy()
+        cuts = np.flatnonzero(learners[1:] != learners[:-1]) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+            yield int(learners[a]), texts[a:b]
+
+
+def _learn(trainer: Trainer, reader: Classes, pieces) -> int:
+    """Steps over all texts of ``pieces``, in batches that go on from one piece to the next; tokens seen."""
+    before = len(trainer.model.target)
+    left_ids, left_context, held, seen = [], [], 0, 0
+    for texts in pieces:
+        ids, starts = reader.read(texts)
+        left_ids.append(ids)
+        left_context.append(contexts(ids, starts, before))
+        held += len(ids)
+        seen += len(ids)
+        if held >= BATCH:
+            ids, around = np.concatenate(left_ids), np.concatenate(left_context)
+            # Whole batches only; the rest waits for the next texts.
+            stop = len(ids) - len(ids) % BATCH
+            for at in range(0, stop, BATCH):
+                trainer.step(ids[at : at + BATCH], around[at : at + BATCH])
+            left_ids, left_context, held = [ids[stop:]], [around[stop:]], len(ids) - stop
+    if held:
+        trainer.step(np.concatenate(left_ids), np.concatenate(left_context))
+    return seen
+
+
 def train(docs: DataFrame, deal: Column, known: Vocabulary) -> Model:
-    """Fit the model on all texts ``body``: in a round every task walks over about ROUND_TOKENS tokens, then
-    the tasks' models and sums of squares are averaged by the tokens they saw, and the next round
-    goes on from there. There are as many rounds as it takes to read all texts once.
+    """Fit the model on all texts ``body``: in a round every learner walks over about ROUND_TOKENS tokens, then
+    the learners' models and sums of squares are averaged by the tokens they saw, and the next round
+    goes on from there. There are as many rounds as it takes to read all texts once. A task may hold
+    several learners, one after the other, so the model does not follow from the number of cores.
 
-    A task hands on one set of parameters, of a size that the vocabulary's bound fixes; they are
+    A learner hands on one set of parameters, of a size that the vocabulary's bound fixes; they are
     averaged place by place in Spark, and only the average comes to the driver.
     """
     model = start_model(known.shares)
@@ -329,29 +409,11 @@ def train(docs: DataFrame, deal: Column, known: Vocabulary) -> Model:
 
         def run(batches, start=start, number=number):
             value, begun = shared.value, start.value
-            reader = Reader(value)
-            squares = Model.unpack(begun[half:], classes)
-            trainer = Trainer(Model.unpack(begun[:half], classes), value.shares, squares, SEED + number)
-            seen = 0
-            left_ids, left_context = [], []
-            held = 0
-            for _, texts in chunks(batches, "body"):
-                _, ids, starts = reader.read(texts)
-                around = contexts(ids, starts, classes)
-                left_ids.append(ids)
-                left_context.append(around)
-                held += len(ids)
-                seen += len(ids)
-                if held >= BATCH:
-                    ids, around = np.concatenate(left_ids), np.concatenate(left_context)
-                    # Whole batches only; the rest waits for the next texts.
-                    stop = len(ids) - len(ids) % BATCH
-                    for at in range(0, stop, BATCH):
-                        trainer.step(ids[at : at + BATCH], around[at : at + BATCH])
-                    left_ids, left_context, held = [ids[stop:]], [around[stop:]], len(ids) - stop
-            if held:
-                trainer.step(np.concatenate(left_ids), np.concatenate(left_context))
-            if seen:
+            reader = Classes(value)
+            for _, group in groupby(_by_learner(batches), key=itemgetter(0)):
+                squares = Model.unpack(begun[half:], classes)
+                trainer = Trainer(Model.unpack(begun[:half], classes), value.shares, squares, SEED + number)
+                seen = _learn(trainer, reader, (texts for _, texts in group))
                 packed = np.frombuffer(trainer.model.pack() + trainer.squares.pack(), np.float32)
                 for at in range(0, len(packed), 1024):
                     part = packed[at : at + 1024]
@@ -360,7 +422,7 @@ def train(docs: DataFrame, deal: Column, known: Vocabulary) -> Model:
                         names=["place", "value", "weight"],
                     )
 
-        parts = dealt.where(F.col("round") == number).select("body").mapInArrow(run, "place long, value double, weight long")
+        parts = dealt.where(F.col("round") == number).select("body", "learner").mapInArrow(run, "place long, value double, weight long")
         mean = parts.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value"))
         found = mean.orderBy("place").toPandas()["value"].to_numpy(np.float32)
         # A hash may leave a round of a small table without texts.
@@ -386,9 +448,9 @@ def _scored(docs: DataFrame, keep: list[str], known: Vocabulary, model: Model) -
         fitted, reader = Model.unpack(packed, len(value.shares)), Reader(value)
         number = TaskContext.get().partitionId() << 40
         for piece, texts in chunks(batches, "body", SCORED_CHARS):
-            keys, ids, starts = reader.read(texts)
+            distinct, which, ids, starts = reader.read(texts)
             scores = log10_probabilities(fitted, ids, contexts(ids, starts, len(value.shares)))
-            distinct, which = np.unique(keys, return_inverse=True)
+            keys = distinct[which]
             counts = np.array([value.count.get(k, -1) for k in distinct.tolist()], np.int64)[which]
             sent = counts >= 0
             scores[sent & (ids == value.rare)] += value.within_rare(counts[sent & (ids == value.rare)])
