@@ -43,7 +43,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Secrets are replaced by a mark; ``n_chars`` follows the text where that changed.
 
     Null and empty texts stay as they are, repeated rows are redacted alike, and no row goes. Time grows
-    with the square of the secrets of one text, so a text of many thousands is slow.
+    with the length of a text and the number of its secrets.
     """
     was, clean = spare(docs, "__was", "__n")
     marked = redact(docs.withColumn(was, F.length("text")))
