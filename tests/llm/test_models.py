@@ -10,13 +10,14 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from edges import ROWS
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from varve.llm import ann, bpe, crf, lm, queries
+from varve.llm import ann, bpe, crf, lm, queries, repeats
 from varve.llm.common import remainder, text_of
 from varve.llm.repeats import remove_repeats
 from varve.llm.tokens import count_tokens, read_merges
@@ -257,6 +258,40 @@ def test_repeats(spark, docs, no_docs, sf_texts, sf_dir):
     assert rows(queries.QUERIES["op8_repeated_strings"](spark, sf_dir)) == removed(sf_texts)
 
 
+@pytest.mark.parametrize("way", ["broadcast", "split"])
+def test_repeats_of_a_hot_core(spark, monkeypatch, way):
+    """One core with nearly all samples: its rows are not left to one task, and the result is that of all windows."""
+    texts = planted() + [(100 + k, "x" * 3000 + f" {k} " + planted()[k % 7][1]) for k in range(40)]
+    plans, write = {}, repeats.materialize
+
+    def recorded(df, name="table"):
+        if name == "live":
+            df._jdf.queryExecution().toRdd().count()
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(repeats, "materialize", recorded)
+    if way == "split":
+        monkeypatch.setattr(repeats, "broadcast_if_small", lambda df, rows: df, raising=False)
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+        assert rows(remove_repeats(df)) == removed(texts)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert ("BroadcastHashJoin" if way == "broadcast" else "skew=true") in plans["live"]
+
+
 def nearest_of(pairs, asked, count=10):
     ids = np.array([i for i, _ in pairs])
     held = np.array([v for _, v in pairs], np.float64)
