@@ -292,6 +292,24 @@ def test_repeats_of_a_hot_core(spark, monkeypatch, way):
     assert ("BroadcastHashJoin" if way == "broadcast" else "skew=true") in plans["live"]
 
 
+def test_repeats_of_many_copies(spark, monkeypatch):
+    """A text's copies are made one in the tasks that read them, before texts are shuffled by their key."""
+    texts = planted() + [(100 + k, planted()[0][1]) for k in range(300)] + [(500 + k, "short") for k in range(300)]
+    plans, write = {}, repeats.materialize
+
+    def recorded(df, name="table"):
+        if name == "bodies":
+            df._jdf.queryExecution().toRdd().count()
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(repeats, "materialize", recorded)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert rows(remove_repeats(df)) == removed(texts)
+    final = plans["bodies"].split("Initial Plan")[0]
+    assert final.index("Join") < final.index("partial_min(body")
+
+
 def nearest_of(pairs, asked, count=10):
     ids = np.array([i for i, _ in pairs])
     held = np.array([v for _, v in pairs], np.float64)
