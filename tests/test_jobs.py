@@ -13,6 +13,8 @@ from varve.operators.versioning import TypeDriftError
 from varve.plans.bronze import LoadFailure, ingest_all, ingest_bronze, quarantined, report
 from varve.plans.silver import publish_silver
 from varve.plans.snapshots import snapshot_transactions
+from varve.session import CLEANUP, materialize, tidy, work_dir
+from varve.sources.files import land_batches
 from varve.sources.store import Store
 from varve.spec import TableSpec, Zones
 
@@ -243,3 +245,60 @@ def test_text_history_is_not_written_again(spark, zones):
         load(spark, zones, spec, day)
     commit = Store(spark, zones).commit_of("t")
     assert commit.rows < 4 and state(spark, zones, "t", "v") == [("1",), ("2",), ("3",), ("x",)]
+
+
+@pytest.mark.parametrize("keys", [0, 100_000])
+@pytest.mark.parametrize("mode", ["compat", "strict"])
+def test_a_load_in_parts_equals_one(spark, zones, monkeypatch, mode, keys):
+    """Equal content under several keys, null keys, and broken lines, flagged a part at a time."""
+    monkeypatch.setattr("varve.operators.versioning.BROADCAST_ROWS", keys)
+    pick, spec = random.Random(7), TableSpec("t", "id", schema="id long, v string", hash_mode=mode)
+    once = Zones(zones.root, "once")
+    for day in range(4):
+        rows = [{"id": pick.choice([None, 1, 2, 3]), "v": pick.choice([None, "1", "a", "b"])} for _ in range(15)]
+        text = "".join(json.dumps(r) + "\n" for r in rows) + "{broken\n"
+        for where in (zones, once):
+            land(where, "t", f"day{day}.jsonl", text)
+    assert (load(spark, once, spec).rows, len(Store(spark, once).commit_of("t").consumed)) == (60, 1)
+    monkeypatch.setattr("varve.plans.bronze.PART_BYTES", 700)
+    outcome = load(spark, zones, spec)
+    assert (outcome.rows, outcome.corrupt) == (60, 4)
+    columns = ("id", "v", "_row_hash", "_initial", "_latest", "_update")
+    assert state(spark, zones, "t", *columns, as_text=True) == state(spark, once, "t", *columns, as_text=True)
+
+
+def folders(spark):
+    return set(Path(work_dir(spark)).iterdir())
+
+
+def test_a_load_leaves_no_staged_rows(spark, zones, monkeypatch):
+    """Neither does a first load, in parts, nor one that finds a history."""
+    monkeypatch.setattr("varve.plans.bronze.PART_BYTES", 500)
+    before = folders(spark)
+    for day in range(2):
+        land(zones, "t", f"day{day}.jsonl", [{"id": n, "v": str(day)} for n in range(50)])
+        load(spark, zones, T, day)
+    assert len(state(spark, zones, "t", "id")) == 100
+    assert folders(spark) == before
+    assert spark.conf.get(CLEANUP) == "false"
+
+
+def test_packed_csv_batches_load(spark, zones):
+    rows = spark.createDataFrame([(1, 'a "b", c'), (2, None)], "id int, v string").selectExpr("*", "'t_1' AS name")
+    land_batches(rows, zones, "t", "name", "csv", codec="gzip")
+    assert all(p.suffix == ".gz" for p in Path(zones.landing, "t").rglob("part-*"))
+    assert load(spark, zones, TableSpec("t", "id", quote_escape='"')).rows == 2
+    assert state(spark, zones, "t", "id", "v", as_text=True) == [("1", 'a "b", c'), ("2", "None")]
+
+
+def test_a_tidy_write_deletes_its_shuffle_files(spark, zones):
+    def files():
+        local = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+        return {f.name for f in local.rglob("shuffle_*")}
+
+    before = files()
+    with tidy(spark), tidy(spark):
+        assert materialize(spark.range(100).repartition(3, "id")).count() == 100
+        assert files() == before
+    assert spark.conf.get(CLEANUP) == "false"
+    assert materialize(spark.range(100).repartition(3, "id")).count() == 100 and files() > before
