@@ -11,9 +11,10 @@ import pytest
 
 from varve.operators.versioning import TypeDriftError
 from varve.plans.bronze import LoadFailure, ingest_all, ingest_bronze, quarantined, report
+from varve.plans.feedback import feedback_enrich
 from varve.plans.silver import publish_silver
 from varve.plans.snapshots import snapshot_transactions
-from varve.session import CLEANUP, materialize, tidy, work_dir
+from varve.session import CLEANUP, materialize, ship, tidy, work_dir
 from varve.sources.files import land_batches
 from varve.sources.store import Store
 from varve.spec import TableSpec, Zones
@@ -302,3 +303,19 @@ def test_a_tidy_write_deletes_its_shuffle_files(spark, zones):
         assert files() == before
     assert spark.conf.get(CLEANUP) == "false"
     assert materialize(spark.range(100).repartition(3, "id")).count() == 100 and files() > before
+
+
+def test_feedback_lands_packed_details_and_leaves_nothing_staged(spark, zones):
+    ship(spark)
+    spec = TableSpec("leads", "external_system_id")
+    lead = {"campaign_id": "c", "lead_status": 1}
+    land(zones, "leads", "a.jsonl", [{**lead, "external_system_id": str(n)} for n in range(30)])
+    load(spark, zones, spec)
+    before = folders(spark)
+    schema = "campaign_id STRING, external_system_id STRING, seq BIGINT"
+    now = CLOCK + timedelta(days=1)
+    fetch = lambda key: [{"seq": n} for n in range(2)]
+    assert feedback_enrich(spark, zones, "leads", "log", fetch, schema, now, "open", codec="gzip") == 60
+    assert folders(spark) == before
+    assert {p.suffix for p in Path(zones.landing, "log").rglob("part-*")} == {".gz"}
+    assert load(spark, zones, TableSpec("log", "external_system_id", schema=schema), 1).rows == 60
