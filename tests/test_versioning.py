@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from varve.catalog.versions import deleted_in_parts
 from varve.functions.hashing import row_hash
 from varve.operators.versioning import (
     FLAGS,
@@ -17,6 +19,7 @@ from varve.operators.versioning import (
     union_history,
     upsert_versions,
 )
+from varve.session import work_dir
 
 SCHEMA = "k string, _row_hash string, ts int, n int"
 
@@ -164,3 +167,27 @@ def test_all_null_column_keeps_strict_hash(spark):
     after = before.withColumn("z", F.lit(None).cast("string"))
     strict = [d.select(row_hash(d, "strict")).first()[0] for d in (before, after)]
     assert strict[0] == strict[1]
+
+
+@pytest.mark.parametrize("keys", [0, 100_000])
+def test_flags_by_parts_are_those_of_the_whole(spark, monkeypatch, keys):
+    """Contents that several keys share, null keys and dates, and newest snapshots in other parts."""
+    monkeypatch.setattr("varve.operators.versioning.BROADCAST_ROWS", keys)
+    pick = random.Random(11)
+    rows = [
+        (pick.choice([None, 1, 2, 3]), pick.choice([None, "1", "a", "b"]), pick.choice([None, 1, 2, 3, 4]), pick.choice([None, 7, 8, 9]), n)
+        for n in range(120)
+    ]
+    df = spark.createDataFrame(rows, "k long, v string, ts long, day long, n long")
+    args = (["k", "v"], "k", "day", "ts", ["n", "_deleted"])
+    one, some = (sorted(map(tuple, deleted_in_parts(df, parts, *args).collect())) for parts in (1, 3))
+    assert one == some and len(some) == 120
+    assert {r[1] for r in some} == {True, False}
+
+
+def test_parts_leave_no_hashes_behind(spark):
+    before = set(os.listdir(work_dir(spark)))
+    df = spark.range(60).selectExpr("id % 9 AS k", "id % 3 AS v", "id AS ts", "id % 4 AS day")
+    assert deleted_in_parts(df, 3, ["k", "v"], "k", "day", "ts", ["ts", "_deleted"]).count() == 60
+    left = {name.split("-")[0] for name in set(os.listdir(work_dir(spark))) - before}
+    assert left == {"newest", "deleted"}

@@ -12,10 +12,16 @@ from varve.operators.versioning import (
     FLAGS,
     add_deleted_flag,
     add_version_flags,
+    key_times,
     latest,
+    newest_of,
+    part_of,
     upsert_versions,
+    with_key_times,
 )
-from varve.session import materialize
+from varve.session import discard, fresh_dir, materialize, materialize_counted, staged, tidy
+from varve.sources.folders import Folder
+from varve.sources.store import CODEC
 
 
 def hashed(df: DataFrame, content: list[str]) -> DataFrame:
@@ -117,11 +123,52 @@ def deleted_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def deleted_flag_other_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same where versions go by another key than the date."""
-    rows = hashed(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_returnflag", "l_linestatus"])
-    rows = rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "_row_hash")
-    flagged = materialize(add_version_flags(rows, "l_orderkey", ts="l_linenumber"), "flagged")
-    deleted = add_deleted_flag(flagged, "l_shipdate", ts="l_linenumber")
-    return deleted.select("l_orderkey", "l_linenumber", "l_partkey", "_deleted")
+    content = ["l_orderkey", "l_returnflag", "l_linestatus"]
+    rows = table(spark, sf_dir, "lineitem").select(*content, "l_linenumber", "l_partkey", "l_shipdate")
+    parts = max(1, min(MOST_PARTS, -(-rows.count() // PART_ROWS)))
+    result = ["l_orderkey", "l_linenumber", "l_partkey", "_deleted"]
+    return deleted_in_parts(rows, parts, content, "l_orderkey", "l_shipdate", "l_linenumber", result)
+
+
+# Rows that are flagged at once, as far as parts go, and the most parts.
+PART_ROWS, MOST_PARTS = 2_000_000, 16
+
+
+def deleted_in_parts(
+    rows: DataFrame, parts: int, content: list[str], key: str, date: str, ts: str, result: list[str]
+) -> DataFrame:
+    """Version flags by ``key`` and the deleted flag by ``date``, a part of the rows after the other.
+
+    Parts go by the hash of the content, so that all rows of one content are in one; what holds for
+    a key or a date is found over all rows before. The hash, which would be most of the bytes, is
+    made anew from its columns instead of staged, taken as bytes instead of digits, and what a part
+    has shuffled goes before the next.
+    """
+    if parts == 1:
+        flagged = materialize(add_version_flags(hashed(rows, content), key, ts=ts), "flagged")
+        return add_deleted_flag(flagged, date, ts=ts).select(*result)
+    spark, done = rows.sparkSession, fresh_dir(rows.sparkSession, "deleted")
+    with tidy(spark):
+        path, times = fresh_dir(spark, "rows"), fresh_dir(spark, "times")
+        by_key, keys = materialize_counted(key_times(rows, key, ts), "times", codec=CODEC, path=times)
+        newest = materialize(newest_of(rows, date, ts), "newest")
+        timed = with_key_times(rows, by_key, key, keys["rows"])
+        cut = hashed(timed, content).withColumn("__part", part_of(parts)).drop("_row_hash")
+        staged(cut, "rows", "__part", codec=CODEC, path=path)
+        for name in Folder(spark, path).names():
+            if not name.startswith("__part="):
+                continue
+            folder, flags = f"{path}/{name}", fresh_dir(spark, "flagged")
+            some = hashed(spark.read.schema(timed.schema).parquet(folder), content)
+            some = some.withColumn("_row_hash", F.unhex("_row_hash"))
+            flagged = add_version_flags(some, key, ts=ts, timed=True)
+            needed = {*result, date, ts, "_row_hash", *FLAGS}
+            flagged, _ = staged(flagged.select([c for c in flagged.columns if c in needed]), "flagged", codec=CODEC, path=flags)
+            deleted = add_deleted_flag(flagged, date, ts=ts, newest=newest).select(*result)
+            deleted.write.mode("append").option("compression", CODEC).parquet(done)
+            discard(spark, folder, flags)
+        discard(spark, path, times)
+    return spark.read.schema(deleted.schema).parquet(done)
 
 
 @query(FEED_FLAGS)
