@@ -354,6 +354,76 @@ def test_nearest_bounds_both_sides_of_a_task(spark, monkeypatch):
     assert max(sizes[0].values()) < 2 * 200 and max(sizes[1].values()) < 2 * 50
 
 
+def far_and_near_vectors(kind, dim, count, rng):
+    """Rows with ties and copies, far from zero, or with squares beyond or below what a double holds."""
+    some = rng.normal(size=(count, dim))
+    if kind == "ties":
+        return rng.integers(-1, 2, size=(count, dim)).astype(float)
+    if kind == "copies":
+        return np.repeat(some[: count // 8], 8, axis=0)
+    if kind == "far":
+        return some * 1e-3 + 1e8
+    if kind == "huge and tiny":
+        return some * 10.0 ** rng.integers(-160, 160, size=(count, 1))
+    return some * 10.0 ** rng.uniform(-162, -150)
+
+
+def plain_within(codes, query, enough):
+    """Rows within the least radius of the steps that holds enough, by comparing all."""
+    bits = np.unpackbits(codes ^ query, axis=1).sum(axis=1)
+    for step in range(8):
+        rows = np.flatnonzero(bits <= codes.shape[1] * (step + 1) - 1)
+        if len(rows) >= min(enough, len(codes)):
+            return rows
+    return np.arange(len(codes))
+
+
+@pytest.mark.parametrize("dim, count", [(8, 1), (8, 300), (24, 300), (64, 700)])
+def test_search_probes_each_substring_once(monkeypatch, dim, count):
+    """A step probes for what no step before it did, and finds all that is within its radius."""
+    rng = np.random.default_rng(dim)
+    codes = np.packbits(rng.integers(0, 2, size=(count, dim), dtype=np.uint8), axis=1)
+    codes[: count // 3] = codes[0]
+    index, probed = ann.MultiIndex(codes), []
+    probe = index.probe
+    monkeypatch.setattr(index, "probe", lambda query, flips: probed.append(flips) or probe(query, flips))
+    for query in [*codes[:: max(1, count // 7)], ~codes[0]]:
+        for enough in (1, 40, 400):
+            probed.clear()
+            assert index.search(query, enough).tolist() == plain_within(codes, query, enough).tolist()
+            assert probed == list(range(len(probed)))
+        assert sorted(np.concatenate([probe(query, k) for k in range(9)]).tolist()) == sorted([*range(count)] * (dim // 8))
+
+
+@pytest.mark.parametrize("kind", ["ties", "copies", "far", "huge and tiny", "tiny"])
+def test_nearest_by_products_equals_all_distances(monkeypatch, kind):
+    rng = np.random.default_rng(7)
+    monkeypatch.setattr(ann, "ENOUGH", 100)
+    vectors = far_and_near_vectors(kind, 16, 400, rng)
+    ids = rng.integers(0, 300, size=len(vectors))
+    codes = ann.learn_codes(rng.normal(size=(50, 16)), 16)
+    index = ann.MultiIndex(codes.encode(vectors))
+    got = ann._best(ids[:20], vectors[:20], ids, vectors, index, codes, 10)
+    want = []
+    with np.errstate(all="ignore"):
+        for own, vector, code in zip(ids[:20].tolist(), vectors[:20], codes.encode(vectors[:20])):
+            rows = plain_within(index.columns.T, code, 100)
+            rows = rows[ids[rows] != own]
+            distance = np.sqrt(((vectors[rows] - vector) ** 2).sum(axis=1))
+            want += [(own, ids[rows[n]], distance[n]) for n in np.lexsort((ids[rows], distance))[:10]]
+    assert list(zip(*got)) == want
+
+
+def test_few_of_what_is_retrieved_are_compared_exactly():
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(3000, 32))
+    squares = (vectors**2).sum(axis=1)
+    for vector in vectors[:20]:
+        kept = ann._may_be_nearest(np.arange(1, 3000, 2), vectors, squares, vector, 10)
+        distance = ((vectors[1::2] - vector) ** 2).sum(axis=1)
+        assert set(1 + 2 * np.argsort(distance)[:10]) <= set(kept) and len(kept) <= 11
+
+
 def test_nearest_of_edges(spark):
     nan = float("nan")
     vectors = [(100, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [None, 1.0]),
