@@ -424,6 +424,21 @@ def test_few_of_what_is_retrieved_are_compared_exactly():
         assert set(1 + 2 * np.argsort(distance)[:10]) <= set(kept) and len(kept) <= 11
 
 
+@pytest.mark.parametrize("ids", ["all different", "some twice", "one for most rows", "one null"])
+def test_sample_is_the_rows_of_least_hash(spark, monkeypatch, ids):
+    """And few more rows than the sample has are sorted for it, whatever the number of all."""
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 300)
+    of = {"all different": lambda n: n, "some twice": lambda n: n // 2, "one for most rows": lambda n: max(n, 3900), "one null": lambda n: n or None}[ids]
+    # Rows of one id are alike, so that the sample does not hang on which of them are taken.
+    pairs = [(of(n), [float(of(n) or 0), 1.0]) for n in range(4000)]
+    base = spark.createDataFrame(pairs, "id long, v array<double>")
+    want = base.orderBy(F.xxhash64("id"), "id").limit(300).collect()
+    assert ann._sample(base, 4000).tolist() == [r.v for r in want]
+    assert ann._sample(base.limit(100), 100).shape == (100, 2)
+    if ids == "all different":
+        assert 300 <= ann._likely_sample(base, 4000).count() < 400
+
+
 def test_nearest_of_edges(spark):
     nan = float("nan")
     vectors = [(100, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [None, 1.0]),
