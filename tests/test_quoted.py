@@ -125,3 +125,66 @@ def test_a_file_that_changed_between_the_passes_fails(spark, tmp_path):
     other = block_lines(spark, [path], 3000)
     with pytest.raises(Exception, match="has it changed"):
         quoted.pieces(other, blocks, Dialect()).collect()
+
+
+def write_mixed(folder):
+    """Files of one block and of several, of which one has records that cross blocks; rows by file."""
+    folder.mkdir()
+    texts = {
+        "small": 'a,b\n1,"x\ny"\n2,z\n',
+        "open": 'a,b\n3,"never\nclosed\n',
+        "empty": "",
+        "header": "a,b\n",
+        "plain": "a,b\n" + "".join(f"{n},p\n" for n in range(1000, 1500)),
+        "long": "a,b\n" + "".join(f'{n},"q\n{n}\nr"\n' for n in range(2000, 2500)),
+        "tail": "a,b\n" + "".join(f"{n},s\n" for n in range(3000, 3500)) + '4,"open\ntail\n',
+    }
+    for name, text in texts.items():
+        (folder / f"{name}.csv").write_bytes(text.encode())
+    return texts
+
+
+def test_files_of_one_block_beside_longer_ones(spark, tmp_path):
+    """All files at once equal each by itself as one block, also those whose last quote stays open."""
+    texts = write_mixed(tmp_path / "all")
+    paths = [f"{tmp_path}/all/{name}.csv" for name in texts]
+    columns = ["path", "first", "record"]
+    want = Counter(tuple(r) for p in paths for r in read_records(spark, p, Dialect(escape='"'), 1 << 20).select(columns).collect())
+    assert sum(want.values()) == 1 + 2 + 2 + 1 + 501 + 501 + 502
+    for size in (1000, 3000):
+        got = read_records(spark, paths, Dialect(escape='"'), size)
+        assert Counter(tuple(r) for r in got.select(columns).collect()) == want
+
+
+def test_only_longer_files_are_read_for_their_maps(spark, tmp_path, monkeypatch):
+    """The first pass, and the one for records that cross blocks, open no file of one block."""
+    texts = write_mixed(tmp_path / "all")
+    mapped, cut = [], []
+    maps, pieces = quoted.block_maps, quoted.pieces
+    monkeypatch.setattr(quoted, "block_maps", lambda lines, *a: mapped.append(lines) or maps(lines, *a))
+    monkeypatch.setattr(quoted, "pieces", lambda lines, *a: cut.append(lines) or pieces(lines, *a))
+
+    def names(lines):
+        return {r["path"].rsplit("/", 1)[1][:-4] for r in lines.select("path").distinct().collect()}
+
+    def run(which, size):
+        mapped.clear(), cut.clear()
+        read_records(spark, [f"{tmp_path}/all/{n}.csv" for n in which], Dialect(escape='"'), size)
+        return [names(x) for x in mapped], [names(x) for x in cut]
+
+    some = {n for n in texts if texts[n]}
+    assert run(texts, 3000) == ([{"plain", "long", "tail"}], [some, {"plain", "long", "tail"}])
+    assert run(texts, 1 << 20) == ([set()], [some])
+    # No value is open where a block of these starts, so no record crosses blocks.
+    assert run(["small", "plain", "tail"], 3000) == ([{"plain", "tail"}], [{"small", "plain", "tail"}])
+    assert "file_size" in mapped[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blocks_stay_where_a_most_number_of_splits_is_set(spark, tmp_path):
+    write_mixed(tmp_path / "all")
+    spark.conf.set("spark.sql.files.maxPartitionNum", "2")
+    try:
+        blocks = block_lines(spark, [f"{tmp_path}/all"], 1000).select("path", "block").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionNum")
+    assert blocks > 10
