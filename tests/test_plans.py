@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from varve.functions.hashing import row_hash
 from varve.operators.filters import extract_window, project_fields, recent
-from varve.operators.versioning import add_version_flags, latest, upsert_versions
+from varve.operators.versioning import FLAGS, add_version_flags, latest, upsert_versions
 from varve.plans.silver import silver_view
 from varve.session import work_dir
 from varve.sources.store import Store
@@ -87,6 +87,21 @@ def test_small_upsert_does_not_shuffle_history(spark):
     assert not re.findall(r"Exchange\nInput \[\d+\]: \[event_id", text)
 
 
+@pytest.mark.parametrize("counted", [True, False])
+def test_upsert_finds_the_times_of_keys_once(spark, counted):
+    """Scans of history: for times by key, for hashes, for whole rows. New rows: twice for each of the
+    first two, once for pairs of key and hash, once for whole rows."""
+    df = add_version_flags(feed(spark), "user_id", ts="day")
+    paths = [f"{work_dir(spark)}/plan-{name}-{counted}" for name in ("old", "new")]
+    for path in paths:
+        df.write.parquet(path)
+    history, new = (spark.read.parquet(path) for path in paths)
+    with settings(spark, spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1"):
+        merged = upsert_versions(history, new.drop(*FLAGS), "user_id", ts="day", new_rows=1000 if counted else None)
+        text = merged._jdf.queryExecution().executedPlan().toString()
+    assert [len(re.findall(rf"FileScan .*{re.escape(path[-30:])}", text)) for path in paths] == [3, 6]
+
+
 def test_latest_has_no_window(spark):
     text = plan(latest(feed(spark), "user_id", "day"))
     assert "Window" not in text and "LeftSemi" in text

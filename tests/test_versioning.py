@@ -137,6 +137,20 @@ def test_upserts_equal_full_recompute(spark, seed, counted):
     assert flags_of(state) == brute_force(rows)
 
 
+def test_upserts_without_a_time_overtake_nothing(spark):
+    """New rows whose time is null, of known, null and new keys, beside ones that have a time."""
+    schema = "k string, _row_hash string, ts int, n int"
+    old = [("a", "x", 1, 0), ("b", "x", 1, 1), (None, "y", 1, 2), ("c", "z", None, 3), ("e", "x", 1, 4)]
+    new = [("a", "v", None, 5), (None, "v", None, 6), ("c", "v", None, 7), ("d", "v", None, 8), ("b", "v", 2, 9), ("b", "v", None, 10)]
+    state = add_version_flags(spark.createDataFrame(old, schema), "k", "ts")
+    for counted in (None, len(new)):
+        found = upsert_versions(state, spark.createDataFrame(new, schema), "k", "ts", new_rows=counted)
+        got = {r["n"]: (r["_initial"], r["_latest"], r["_update"]) for r in found.collect()}
+        no = (False, False, False)
+        assert got == {0: (True, True, False), 1: (True, False, False), 2: (True, True, False), 3: no, 4: (True, True, False),
+                       5: no, 6: no, 7: no, 8: no, 9: (False, True, True), 10: no}
+
+
 def test_deleted_rows(spark):
     rows = [("d1", "a", 1), ("d1", "b", 1), ("d1", "a", 2), ("d2", "c", 1)]
     flagged = add_version_flags(table(spark, rows), "k", "ts")
