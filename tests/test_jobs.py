@@ -8,9 +8,11 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from varve.operators.versioning import TypeDriftError
-from varve.plans.bronze import LoadFailure, ingest_all, ingest_bronze, quarantined, report
+from varve.plans import bronze
+from varve.plans.bronze import LoadFailure, ingest_all, ingest_bronze, quarantined, report, waiting
 from varve.plans.feedback import feedback_enrich
 from varve.plans.silver import publish_silver
 from varve.plans.snapshots import snapshot_transactions
@@ -268,6 +270,26 @@ def test_a_load_in_parts_equals_one(spark, zones, monkeypatch, mode, keys):
     assert state(spark, zones, "t", *columns, as_text=True) == state(spark, once, "t", *columns, as_text=True)
 
 
+def test_a_load_looks_up_its_files_once(spark, zones, monkeypatch):
+    """Files are listed and compared with those taken in by one query; later loads take new ones only."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(folder):
+        seen.add(1)
+        return folder
+
+    monkeypatch.setattr(bronze, "waiting", lambda *a: waiting(*a).withColumn("folder", F.udf(noted)("folder")))
+    for day, files in enumerate((3, 2, 0)):
+        for n in range(files):
+            land(zones, "t", f"day{day}_{n}.jsonl", [{"id": n, "v": f"{day}"}])
+        seen.value = 0
+        outcome = load(spark, zones, T, days=day)
+        assert (outcome.rows, outcome.status) == (files, "loaded" if files else "no new files")
+        assert seen.value == files
+    assert state(spark, zones, "t", "id", "v", "_latest") == [(0, "0", False), (0, "1", True), (1, "0", False), (1, "1", True), (2, "0", True)]
+    assert Store(spark, zones).consumed("t").count() == 5
+
+
 def folders(spark):
     return set(Path(work_dir(spark)).iterdir())
 
